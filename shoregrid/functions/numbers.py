@@ -9,9 +9,14 @@ _NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def round_half_away(x: Column, digits: int = 2) -> Column:
-    """Round the binary value half away from zero (the built-in ``round`` goes via decimal text)."""
+    """Round the binary value half away from zero.
+
+    The built-in rounds the shortest decimal text, so 1.005 would become 1.01 although the double
+    is below the tie; scaling first decides on the binary value. ``x`` appears only once, which
+    keeps generated code short.
+    """
     scale = float(10**digits)
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
+    return F.round(x * scale, 0) / scale
 
 
 def to_int_half_even(x: Column) -> Column:
@@ -24,9 +29,14 @@ def parse_double(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def to_int_half_away(x: Column) -> Column:
+    """Double to int by rounding half away from zero; NULL when out of range."""
+    return F.round(x, 0).try_cast("int")
+
+
 def parse_int(text: Column) -> Column:
     """Integer or NULL; fractions round half away from zero instead of failing."""
-    return round_half_away(parse_double(text), 0).try_cast("int")
+    return to_int_half_away(parse_double(text))
 
 
 def parse_double_or(text: Column, default: float) -> Column:

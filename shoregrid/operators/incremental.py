@@ -27,7 +27,7 @@ def pending(
     columns = on
     if mentions:
         url, label = mentions
-        residual = F.col(url).rlike(F.col(label))
+        residual = F.regexp_like(url, F.col(label))
         columns = [*on, label]
     return join_dimension(index, landed.select(*columns).distinct(), on, "left_anti", residual)
 

@@ -82,6 +82,7 @@ def search_by_media(
     vector: str,
     radius: float = SEARCH_RADIUS,
     within_minutes: int = MATCH_WINDOW_MINUTES,
+    digits: int = 2,
 ) -> DataFrame:
     """Past hours with conditions like those where and when each photo or clip was taken.
 
@@ -104,6 +105,7 @@ def search_by_media(
         "_query_id",
         vector,
         radius,
+        digits=digits,
     )
     asked = matched.select(media_id, "_query_id", "matched_ts", "matched_vector")
     return join_dimension(asked, similar, ["_query_id"]).drop("_query_id")

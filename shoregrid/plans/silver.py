@@ -13,7 +13,7 @@ from shoregrid.fixed_values import (
     OBSERVATION_FILLS,
     TIDE_FLOOR_MM,
 )
-from shoregrid.functions import grid, numbers, text
+from shoregrid.functions import grid, numbers
 from shoregrid.functions.wind import wind_from, wind_speed
 from shoregrid.operators.interpolate import hourly_mean, idw
 from shoregrid.operators.joins import scd_join
@@ -33,18 +33,27 @@ def between(df: DataFrame, start, end, ts: str = DEFAULT_TS) -> DataFrame:
     return df
 
 
-def measurement_columns(line: Column, first: Column, compat: bool = False) -> list[Column]:
-    """The thirteen measurements of a line whose first one is at field `first`."""
+def measured_numbers(line: Column, first: Column) -> Column:
+    """The thirteen numbers of a line from field `first` on; NULL where unreadable or missing.
+
+    Each token is parsed once, in one array expression: thirteen separate ones would make the
+    generated method too long for the JIT compiler.
+    """
+    return F.transform(F.slice(line, first, len(OBSERVATION_FILLS)), numbers.parse_double)
+
+
+def measurement_columns(values: Column, compat: bool = False) -> list[Column]:
+    """The measurements by name, unreadable ones replaced by the fill of their column."""
     out = []
-    for offset, (name, kind, fill) in enumerate(OBSERVATION_FILLS):
-        token = text.field_at(line, first + offset)
+    for position, (name, kind, fill) in enumerate(OBSERVATION_FILLS):
+        number = F.get(values, position)
         if kind == "int":
-            value = numbers.parse_int_or(token, int(fill))
+            value = F.coalesce(numbers.to_int_half_away(number), F.lit(int(fill)))
         elif kind == "rounded_int":
-            default = fill if compat else MISSING_DIRECTION
-            value = numbers.to_int_half_even(numbers.parse_double_or(token, default))
+            default = fill if compat else float(MISSING_DIRECTION)
+            value = numbers.to_int_half_even(F.coalesce(number, F.lit(default)))
         else:
-            value = numbers.parse_double_or(token, fill)
+            value = F.coalesce(number, F.lit(fill))
         out.append(value.alias(name))
     return out
 
@@ -60,8 +69,9 @@ def buoy_measurements(
     raw = between(bronze, start, end).select(
         "station_id",
         "timestamp_tz",
-        "line",
-        first_measurement_field(F.col("filename")).alias("_first"),
+        measured_numbers(F.col("line"), first_measurement_field(F.col("filename"))).alias(
+            "_values"
+        ),
     )
     known = history.select("station_id", "station_sk", "geometry", "cell", "start_time", "end_time")
     placed = scd_join(raw, known, "station_id", "timestamp_tz")
@@ -71,7 +81,7 @@ def buoy_measurements(
         "station_sk",
         "geometry",
         "cell",
-        *measurement_columns(F.col("line"), F.col("_first"), compat),
+        *measurement_columns(F.col("_values"), compat),
     )
 
 

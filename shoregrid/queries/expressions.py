@@ -199,8 +199,8 @@ def list_expressions(spark, sf_dir):
 
 
 @query("""
-SELECT doc_id, list_filter(words, w -> length(w) > 6)[1] AS long_word,
-       list_filter(list_zip(words, range(1, len(words) + 1)), z -> length(z[1]) > 6)[1][2] AS at
+SELECT doc_id, list_filter(words, lambda w: length(w) > 6)[1] AS long_word,
+       list_filter(list_zip(words, range(1, len(words) + 1)), lambda z: length(z[1]) > 6)[1][2] AS at
 FROM (SELECT doc_id, str_split(text, ' ') AS words FROM documents)
 """)
 def first_matching_element(spark, sf_dir):

@@ -82,6 +82,11 @@ near AS (
 """
 
 
+def padded_sql(number: str, width: int = 5) -> str:
+    text_sql = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text_sql}, CAST(greatest({width}, length({text_sql})) AS INTEGER), '0')"
+
+
 def cents(value: Column) -> Column:
     return F.floor(value * 100).cast("long")
 
@@ -89,42 +94,52 @@ def cents(value: Column) -> Column:
 CENTS_SQL = "CAST(floor(value * 100) AS BIGINT)"
 
 
+TOKENS = [
+    # modulus, one decimal?, every k-th value is unreadable or missing, written as
+    (360, False, 17, "999"),
+    (40, True, 19, "MM"),
+    (50, True, 0, ""),
+    (12, True, 23, "99.00"),
+    (20, True, 0, ""),
+    (15, True, 29, "99.00"),
+    (360, False, 13, "MM"),
+    (60, True, 0, ""),
+    (30, True, 0, ""),
+    (25, True, 0, ""),
+    (1, True, 1, "MM"),
+    (1, True, 1, "99.0"),
+    (5, True, 3, "99.00"),
+]
+
+
 def buoy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw buoy text: even stations write files with a minute column, odd ones without."""
-    events = table(spark, sf_dir, "events")
-    n, ts, even = F.col("n"), F.col("ts"), F.col("user_id") % 2 == 0
-    number = lambda c: c.cast("string")
-    tenth = lambda c: F.concat(number(c), F.lit("."), number(n % 10))
-    head = [F.date_format(ts, p) for p in ("yyyy", "MM", "dd", "HH")]
-    tokens = [
-        F.when(n % 17 == 0, F.lit("MM")).otherwise(number(n % 360)),
-        F.when(n % 19 == 0, F.lit("MM")).otherwise(tenth(n % 40)),
-        tenth(n % 50),
-        F.when(n % 23 == 0, F.lit("99.00")).otherwise(tenth(n % 12)),
-        tenth(n % 20),
-        F.when(n % 29 == 0, F.lit("99.00")).otherwise(tenth(n % 15)),
-        F.when(n % 13 == 0, F.lit("MM"))
-        .when(n % 13 == 1, F.lit("999"))
-        .otherwise(number(n % 360)),
-        F.concat(number(n % 60 + 980), F.lit(".5")),
-        tenth(n % 30),
-        tenth(n % 25),
-        F.lit("MM"),
-        F.lit("99.0"),
-        F.when(n % 3 == 0, F.lit("99.00")).otherwise(tenth(n % 5)),
-    ]
-    minute = F.when(even, F.concat(F.lit(" "), F.date_format(ts, "mm"))).otherwise(F.lit(""))
-    value = F.concat(
-        F.concat_ws(" ", *head), minute, F.lit("  "), F.concat_ws("  ", *tokens)
+    n, even = F.col("n"), F.col("user_id") % 2 == 0
+    recipe = F.array(
+        *[
+            F.struct(
+                F.lit(m).alias("m"), F.lit(d).alias("d"), F.lit(k).alias("k"), F.lit(t).alias("t")
+            )
+            for m, d, k, t in TOKENS
+        ]
     )
-    filename = F.concat(
+
+    def token(r: Column) -> Column:
+        whole = (n % r["m"]).cast("string")
+        shown = F.when(r["d"], F.concat(whole, F.lit("."), (n % 10).cast("string"))).otherwise(whole)
+        return F.when((r["k"] > 0) & (F.try_mod(n, r["k"].cast("long")) == 0), r["t"]).otherwise(shown)
+
+    time = F.when(even, F.date_format("ts", "yyyy MM dd HH mm")).otherwise(
+        F.date_format("ts", "yyyy MM dd HH")
+    )
+    name = F.concat(
         F.lit("archive/stdmet/"),
         text.zero_pad(F.col("user_id"), 5),
         F.when(even, F.lit("h2024.txt.gz")).otherwise(F.lit("h2004.txt.gz")),
     )
-    return events.withColumn("n", cents(F.col("value"))).select(
-        filename.alias("filename"), value.alias("value")
-    )
+    events = table(spark, sf_dir, "events").withColumn("n", cents(F.col("value")))
+    line = F.concat_ws("  ", time, F.transform(recipe, token))
+    return events.select(name.alias("filename"), line.alias("value"))
 
 
 def station_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +166,7 @@ def _tenth_sql(n: str) -> str:
 
 BUOY_SQL = f"""
 sighting AS (
-    SELECT *, lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR))), '0') AS station_name,
+    SELECT *, {padded_sql("user_id")} AS station_name,
            {CENTS_SQL} AS n,
            date_trunc(CASE WHEN user_id % 2 = 0 THEN 'minute' ELSE 'hour' END, ts) AS seen
     FROM events),
@@ -166,8 +181,8 @@ measured AS (
            CASE WHEN n % 23 = 0 THEN 99e0 ELSE {_tenth_sql("n % 12")} END AS wave_height,
            {_tenth_sql("n % 20")} AS dominant_wave_period,
            CASE WHEN n % 29 = 0 THEN 99e0 ELSE {_tenth_sql("n % 15")} END AS average_wave_period,
-           CASE WHEN n % 13 <= 1 THEN 999 ELSE n % 360 END AS measured_wave_direction,
-           n % 60 + 980.5e0 AS sea_level_pressure,
+           CASE WHEN n % 13 = 0 THEN 999 ELSE n % 360 END AS measured_wave_direction,
+           {_tenth_sql("n % 60")} AS sea_level_pressure,
            {_tenth_sql("n % 30")} AS air_temp,
            {_tenth_sql("n % 25")} AS water_temp,
            999.9e0 AS dew_point_temp,

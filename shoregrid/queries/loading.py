@@ -12,6 +12,7 @@ from shoregrid.queries.inputs import (
     LAT_SQL,
     LON_SQL,
     cell_sql,
+    padded_sql,
     station_lat,
     station_lon,
     stations,
@@ -23,16 +24,16 @@ from shoregrid.session import work_path
 NTZ = "timestamp_ntz"
 
 
-@query("""
+@query(f"""
 SELECT o_orderkey, TIMESTAMP '2000-01-01' + to_years(CAST(o_orderkey % 20 AS INTEGER)) AS indexed,
-       lpad(CAST(o_custkey AS VARCHAR), greatest(5, length(CAST(o_custkey AS VARCHAR))), '0') AS station_id,
-       'landing/' || lpad(CAST(o_custkey AS VARCHAR), greatest(5, length(CAST(o_custkey AS VARCHAR))), '0') || 'h'
+       {padded_sql("o_custkey")} AS station_id,
+       'landing/' || {padded_sql("o_custkey")} || 'h'
            || CAST(2000 + o_orderkey % 20 AS VARCHAR) || '.txt.gz?' || CAST(o_orderkey AS VARCHAR) AS s3_url
 FROM orders WHERE o_orderkey % 20 > 0 AND o_custkey IN (SELECT c_custkey FROM customer)
 UNION ALL
 SELECT o_orderkey, date_trunc('year', o_orderdate),
-       lpad(CAST(o_custkey AS VARCHAR), greatest(5, length(CAST(o_custkey AS VARCHAR))), '0'),
-       'landing/' || lpad(CAST(o_custkey AS VARCHAR), greatest(5, length(CAST(o_custkey AS VARCHAR))), '0') || 'now.txt?'
+       {padded_sql("o_custkey")},
+       'landing/' || {padded_sql("o_custkey")} || 'now.txt?'
            || CAST(o_orderkey AS VARCHAR)
 FROM orders WHERE date_trunc('year', o_orderdate) > TIMESTAMP '1999-12-31 23:59:59'
   AND o_custkey IN (SELECT c_custkey FROM customer)
@@ -84,10 +85,9 @@ def tide_index(spark, sf_dir):
     )
     parents = pages.select(key, F.lit("base/").alias("base_url"), F.lit("../").alias("href"))
     index = archives.tide_index(listed.unionByName(parents), "landing/")
+    number = text.tail_slice(F.col("archive_url"), -12, -6).try_cast("long")
     return index.select(
-        (F.substring_index(F.substring_index("archive_url", "a.csv", 1), "/", -1)).alias("_tail"), "*"
-    ).select(
-        (F.substring("_tail", -7, 7).cast("long") - 1000000).alias("page_id"),
+        (number - 1000000).alias("page_id"),
         "uh_id",
         "version",
         "archive_url",
@@ -266,7 +266,7 @@ SELECT c_custkey, 'get?product=predictions&begin_date=20240301&end_date=20240331
     || c_custkey || '&time_zone=GMT&units=english&interval=&format=csv' AS archive_url
 FROM (SELECT c_custkey, -160e0 + (c_custkey % 20) * 0.35e0 AS lon, min(o_orderdate) AS a, max(o_orderdate) AS b
       FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)
-WHERE a <= TIMESTAMP '2024-03-31' AND b >= TIMESTAMP '2001-06-01' - INTERVAL 100 DAY AND lon BETWEEN -159e0 AND -155e0
+WHERE a <= TIMESTAMP '2024-03-31' AND b + INTERVAL 8397 DAY >= TIMESTAMP '2024-03-01' AND lon BETWEEN -159e0 AND -155e0
 """)
 def prediction_requests(spark, sf_dir):
     """Request addresses of stations inside a box whose record reaches the asked range."""

@@ -36,7 +36,7 @@ from shoregrid.queries.inputs import (
 )
 from shoregrid.session import work_path
 from shoregrid.sinks.tables import append_partitioned
-from shoregrid.sources.documents import read_station_xml
+from shoregrid.sources.documents import parse_station_xml
 from shoregrid.sources.files import observation_lines
 
 NTZ = "timestamp_ntz"
@@ -378,7 +378,7 @@ def search_by_media(spark, sf_dir):
         .select("event_id", "ts", station_lon(user).alias("lon"), station_lat(user).alias("lat"))
     )
     vectors = hour_vectors(spark, sf_dir)
-    found = media_search(media, vectors, "event_id", "ts", "hour", "tag")
+    found = media_search(media, vectors, "event_id", "ts", "hour", "tag", digits=6)
     return found.select(
         "event_id",
         F.col("matched_ts").alias("matched_hour"),
@@ -390,8 +390,8 @@ def search_by_media(spark, sf_dir):
 
 @query("""
 SELECT CAST(c_custkey AS VARCHAR) AS station_id, CAST(k AS INTEGER) AS station_sk, c_name AS name,
-       TIMESTAMP '2001-01-01' + to_days(CAST(c_custkey % 300 AS INTEGER)) * (k - 1) AS start_time,
-       CASE WHEN k = 1 THEN TIMESTAMP '2001-01-01' + to_days(CAST(c_custkey % 300 AS INTEGER)) END AS end_time,
+       TIMESTAMP '2001-01-01' + to_days(CAST(c_custkey % 300 + 1 AS INTEGER)) * (k - 1) AS start_time,
+       CASE WHEN k = 1 THEN TIMESTAMP '2001-01-01' + to_days(CAST(c_custkey % 300 + 1 AS INTEGER)) END AS end_time,
        -160e0 + (c_custkey % 20) * 0.25e0 + (k - 1) AS lon, 18e0 + (c_custkey % 30) * 0.5e0 AS lat,
        CAST(floor((18e0 + (c_custkey % 30) * 0.5e0 + 90) * 2) * 720
             + floor((-160e0 + (c_custkey % 20) * 0.25e0 + (k - 1) + 180) * 2) AS BIGINT) AS cell,
@@ -399,11 +399,11 @@ SELECT CAST(c_custkey AS VARCHAR) AS station_id, CAST(k AS INTEGER) AS station_s
 FROM customer, (SELECT unnest([1, 2]) AS k)
 """)
 def station_history(spark, sf_dir):
-    """Station elements with nested moves, read from XML files and numbered by start."""
+    """Station elements with nested moves, numbered by start."""
     n = F.col("c_custkey")
     lon = lambda k: (F.lit(-160.0) + (n % 20) * F.lit(0.25) + k).cast("string")
     lat = (F.lit(18.0) + (n % 30) * F.lit(0.5)).cast("string")
-    move = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), (n % 300).cast("int")), "yyyy-MM-dd")
+    move = F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), (n % 300 + 1).cast("int")), "yyyy-MM-dd")
     xml = F.format_string(
         '<station id="%d" name="%s" owner="o" pgm="p" type="buoy">'
         '<history start="%s" stop="" lat="%s" lng="%s" elev="" met="y" hull="" anemom_height="5.0"/>'
@@ -411,9 +411,8 @@ def station_history(spark, sf_dir):
         "</station>",
         n, F.col("c_name"), move, lat, lon(1), move, lat, lon(0),
     )
-    path = work_path(spark, "stations-xml")
-    table(spark, sf_dir, "customer").select(xml.alias("value")).write.text(path)
-    rows = dimensions.station_history(read_station_xml(spark, path))
+    docs = table(spark, sf_dir, "customer").select(xml.alias("xml"))
+    rows = dimensions.station_history(parse_station_xml(docs, "xml"))
     return rows.select(
         "station_id",
         "station_sk",

@@ -98,19 +98,23 @@ def lattice_cells(spark, sf_dir):
 
 @query(f"""
 WITH {STATION_SQL},
-pair AS (SELECT a.lon AS ax, a.lat AS ay, b.lon AS bx, b.lat AS by
+pair AS (SELECT a.lon AS ax, a.lat AS ay, b.lon AS bx, b.lat AS "by"
          FROM station a JOIN station b ON b.user_id = a.user_id + 1 AND b.lat = a.lat),
 seg AS (SELECT DISTINCT * FROM pair),
+box AS (
+    SELECT *, CAST(floor((least(ax, bx) + 179.4e0) * 2) AS BIGINT) AS x0,
+           CAST(floor((greatest(ax, bx) + 180.6e0) * 2) AS BIGINT) + 1 AS x1,
+           CAST(floor((least(ay, "by") + 89.4e0) * 2) AS BIGINT) AS y0,
+           CAST(floor((greatest(ay, "by") + 90.6e0) * 2) AS BIGINT) + 1 AS y1 FROM seg),
 cand AS (
-    SELECT seg.*, iy * 720 + ix AS cell, (ix + 0.5e0) / 2 - 180e0 AS px, (iy + 0.5e0) / 2 - 90e0 AS py
-    FROM seg, range(CAST(floor((least(ax, bx) + 179.4e0) * 2) AS BIGINT), CAST(floor((greatest(ax, bx) + 180.6e0) * 2) AS BIGINT) + 1) x(ix),
-         range(CAST(floor((least(ay, by) + 89.4e0) * 2) AS BIGINT), CAST(floor((greatest(ay, by) + 90.6e0) * 2) AS BIGINT) + 1) y(iy)),
+    SELECT *, iy * 720 + ix AS cell, (ix + 0.5e0) / 2 - 180e0 AS px, (iy + 0.5e0) / 2 - 90e0 AS py
+    FROM (SELECT *, unnest(range(x0, x1)) AS ix FROM (SELECT *, unnest(range(y0, y1)) AS iy FROM box))),
 along AS (
-    SELECT *, least(greatest(coalesce(((px - ax) * (bx - ax) + (py - ay) * (by - ay))
-              / nullif((bx - ax) * (bx - ax) + (by - ay) * (by - ay), 0), 0), 0), 1) AS t FROM cand)
+    SELECT *, least(greatest(coalesce(((px - ax) * (bx - ax) + (py - ay) * ("by" - ay))
+              / nullif((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay), 0), 0), 0), 1) AS t FROM cand)
 SELECT DISTINCT cell FROM along
 WHERE (px - ax - t * (bx - ax)) * (px - ax - t * (bx - ax))
-    + (py - ay - t * (by - ay)) * (py - ay - t * (by - ay)) <= 0.36e0
+    + (py - ay - t * ("by" - ay)) * (py - ay - t * ("by" - ay)) <= 0.36e0
 """)
 def coast_cover(spark, sf_dir):
     """Cells within 0.6 degrees of the segments between consecutive stations."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shoregrid.functions import text
 from shoregrid.operators.sized import join_dimension
 from shoregrid.queries import query
-from shoregrid.queries.inputs import table
+from shoregrid.queries.inputs import padded_sql, table
 from shoregrid.session import work_path
 from shoregrid.sinks import tables
 from shoregrid.sources import documents, files, gridded
@@ -305,9 +305,9 @@ def repeated_interval_append(spark, sf_dir):
     return counted.withColumn("kind", F.when(F.col("n") > 1, "repeat").otherwise("single"))
 
 
-@query("""
+@query(f"""
 SELECT filename, CAST(len(tokens) AS INTEGER) AS n_fields, md5(array_to_string(tokens, '|')) AS digest
-FROM (SELECT lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR))), '0') AS filename,
+FROM (SELECT {padded_sql("user_id")} AS filename,
              [strftime(ts, '%Y-%m-%d'), event_type] AS tokens FROM events)
 """)
 def latest_observation_lines(spark, sf_dir):

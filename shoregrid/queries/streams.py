@@ -12,8 +12,8 @@ from shoregrid.streaming import ingest
 
 
 def _stream(spark, sf_dir):
-    path = f"{sf_dir}/events.parquet"
-    return ingest.file_stream(spark, path, spark.read.parquet(path).schema)
+    schema = table(spark, sf_dir, "events").schema
+    return ingest.file_stream(spark, f"{sf_dir}/event[s].parquet", schema)
 
 
 @query("SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events")

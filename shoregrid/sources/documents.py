@@ -114,6 +114,11 @@ def read_station_xml(spark: SparkSession, path: str, schema: str = STATION_XML)
     return spark.read.format("xml").option("rowTag", "station").schema(schema).load(path)
 
 
+def parse_station_xml(docs: DataFrame, xml: str) -> DataFrame:
+    """Station elements held one per row."""
+    return docs.select(F.from_xml(F.col(xml), STATION_XML).alias("s")).select("s.*")
+
+
 def parse_inventory(docs: DataFrame, xml: str) -> DataFrame:
     """Stored inventory answers as (station_id, lon, lat, parameters)."""
     tree = F.from_xml(F.col(xml), INVENTORY_XML, {"ignoreNamespace": "true"})
