@@ -25,8 +25,13 @@ def to_int_half_even(x: Column) -> Column:
 
 
 def parse_double(text: Column) -> Column:
-    """Number or NULL; only decimal notation counts (the cast alone would take ``1d`` or ``2f``)."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Number or NULL; only decimal notation counts (the cast alone would take ``1d`` or ``2f``).
+
+    A plain number stays one with ``e0`` behind it, while all else the cast would take does not;
+    the pattern is needed only for what is left, such as numbers that have an exponent already.
+    """
+    plain = F.concat(text, F.lit("e0")).try_cast("double")
+    return F.coalesce(plain, F.when(text.rlike(_NUMBER), text.try_cast("double")))
 
 
 def to_int_half_away(x: Column) -> Column:

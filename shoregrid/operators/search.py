@@ -10,10 +10,10 @@ from shoregrid.functions import grid
 from shoregrid.functions.arrays import l2_distance, l2_distance_unrolled, slice_from
 from shoregrid.functions.numbers import round_half_away
 from shoregrid.operators.joins import nearest_in_time
-from shoregrid.operators.sized import join_dimension
+from shoregrid.operators.sized import join_dimension, written
 
-COMPASS_DIMS = (3, 6)
-"""Positions (from 1, the cell being 1) after which the search space is cut: they vary most."""
+COMPASS_DIMS = (4, 7)
+"""The two directions of a tag (elements counted from 1): they span far more than the radius."""
 
 
 def make_vector(cell: Column, *features: Column) -> Column:
@@ -45,7 +45,7 @@ def vector_search(
 def similar_vectors(
     queries: DataFrame,
     rows: DataFrame,
-    query_id: str,
+    query_id: list[str],
     vector: str,
     radius: float = SEARCH_RADIUS,
     size: int = 7,
@@ -54,13 +54,14 @@ def similar_vectors(
 ) -> DataFrame:
     """For many query vectors at once: all rows closer than `radius` over elements 2..size.
 
-    Two dimensions are cut into bands as wide as the radius. Close vectors are at most one band
-    apart in each, so a query asks in its own and the adjacent bands only, and no row is compared
-    with every query. Exact: the bands only preselect.
+    The elements named in `cut` are cut into bands as wide as the radius. Close vectors are at
+    most one band apart in each, so a query asks in its own and the adjacent bands only (it is
+    repeated 3 times per named element, the rows are not), and no row is compared with every
+    query. Exact: the bands only preselect. Name elements that spread widely.
     """
     band = lambda v, i: F.floor(F.get(v, i - 1) / radius).cast("long")
     keys = [f"_band{i}" for i in cut]
-    ask = queries.select(query_id, F.col(vector).alias("_query"))
+    ask = queries.select(*query_id, F.col(vector).alias("_query"))
     for key, i in zip(keys, cut):
         ask = ask.withColumn(
             key, F.explode(F.sequence(band(F.col("_query"), i) - 1, band(F.col("_query"), i) + 1))
@@ -82,6 +83,7 @@ def search_by_media(
     vector: str,
     radius: float = SEARCH_RADIUS,
     within_minutes: int = MATCH_WINDOW_MINUTES,
+    cut: tuple[int, ...] = COMPASS_DIMS,
     digits: int = 2,
 ) -> DataFrame:
     """Past hours with conditions like those where and when each photo or clip was taken.
@@ -97,15 +99,18 @@ def search_by_media(
     )
     matched = nearest_in_time(
         points, series, "cell", media_ts, "matched_ts", "matched_ts", within_minutes
-    ).withColumn("_query_id", F.struct("cell", "matched_ts"))
-    queries = matched.groupBy("_query_id").agg(F.first("matched_vector").alias(vector))
+    )
+    matched = written(matched, "matched")
+    key = ["cell", "matched_ts"]
+    queries = matched.groupBy(*key).agg(F.first("matched_vector").alias(vector))
     similar = similar_vectors(
-        queries,
+        written(queries, "queries"),
         tags.select(F.col("cell").alias("similar_cell"), F.col(tag_ts).alias("similar_ts"), vector),
-        "_query_id",
+        key,
         vector,
         radius,
+        cut=cut,
         digits=digits,
     )
-    asked = matched.select(media_id, "_query_id", "matched_ts", "matched_vector")
-    return join_dimension(asked, similar, ["_query_id"]).drop("_query_id")
+    asked = matched.select(*key, media_id, "matched_vector")
+    return similar.join(asked, key)

@@ -51,8 +51,11 @@ def settled(df: DataFrame, name: str, growth: int = 1) -> DataFrame:
     Estimates of aggregates and joins are far above the truth; the written copy has its real size,
     so the check made on it afterwards is a check of real bytes. It also cuts lineage.
     """
-    if fits_broadcast(df, growth):
-        return df
+    return df if fits_broadcast(df, growth) else written(df, name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A copy in the shared folder, for results that several later steps read."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,6 +34,7 @@ from shoregrid.queries.inputs import (
     table,
     wind_rows,
 )
+from shoregrid.operators.sized import written
 from shoregrid.session import work_path
 from shoregrid.sinks.tables import append_partitioned
 from shoregrid.sources.documents import parse_station_xml
@@ -237,6 +238,7 @@ buoy_idw AS (
 
 def _buoy_idw(spark, sf_dir, compat=False):
     rows = silver.buoy_measurements(_bronze(spark, sf_dir), station_records(spark, sf_dir))
+    rows = written(rows, "buoy-measurements")
     return silver.buoy_idw(station_cells(spark, sf_dir), rows, digits=6, compat=compat)
 
 
@@ -377,8 +379,9 @@ def search_by_media(spark, sf_dir):
         .where("event_type = 'purchase'")
         .select("event_id", "ts", station_lon(user).alias("lon"), station_lat(user).alias("lat"))
     )
-    vectors = hour_vectors(spark, sf_dir)
-    found = media_search(media, vectors, "event_id", "ts", "hour", "tag", digits=6)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vectors = written(hour_vectors(spark, sf_dir).repartition(files, "cell", "hour"), "hour-vectors")
+    found = media_search(media, vectors, "event_id", "ts", "hour", "tag", cut=(2, 3, 4, 5), digits=6)
     return found.select(
         "event_id",
         F.col("matched_ts").alias("matched_hour"),
