@@ -59,19 +59,22 @@ def similar_vectors(
     repeated 3 times per named element, the rows are not), and no row is compared with every
     query. Exact: the bands only preselect. Name elements that spread widely.
     """
-    band = lambda v, i: F.floor(F.get(v, i - 1) / radius).cast("long")
+    elements = range(2, size + 1)
     keys = [f"_band{i}" for i in cut]
-    ask = queries.select(*query_id, F.col(vector).alias("_query"))
+    band = lambda c: F.floor(F.col(c) / radius).cast("long")
+    # Elements become plain columns: reading them out of arrays for each pair costs far more.
+    ask = queries.select(*query_id, *[F.get(vector, i - 1).alias(f"_q{i}") for i in elements])
     for key, i in zip(keys, cut):
         ask = ask.withColumn(
-            key, F.explode(F.sequence(band(F.col("_query"), i) - 1, band(F.col("_query"), i) + 1))
+            key, F.explode(F.sequence(band(f"_q{i}") - 1, band(f"_q{i}") + 1))
         )
-    placed = rows.withColumns({k: band(F.col(vector), i) for k, i in zip(keys, cut)})
-    distance = l2_distance_unrolled(
-        [(F.get(vector, i), F.get("_query", i)) for i in range(1, size)]
-    )
-    near = join_dimension(placed, ask, keys, residual=distance < radius)
-    return near.withColumn("l2_dist", round_half_away(distance, digits)).drop(*keys, "_query")
+    placed = rows.withColumns({f"_x{i}": F.get(vector, i - 1) for i in elements})
+    placed = placed.withColumns({k: band(f"_x{i}") for k, i in zip(keys, cut)})
+    squares = [(F.col(f"_x{i}"), F.col(f"_q{i}")) for i in elements]
+    distance = l2_distance_unrolled(squares)
+    near = join_dimension(placed, ask, keys, residual=distance < radius, growth=3 ** len(cut))
+    helpers = [*keys, *[f"_x{i}" for i in elements], *[f"_q{i}" for i in elements]]
+    return near.withColumn("l2_dist", round_half_away(distance, digits)).drop(*helpers)
 
 
 def search_by_media(

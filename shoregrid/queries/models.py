@@ -21,6 +21,7 @@ from shoregrid.queries.inputs import (
     WIND_SQL,
     buoy_text,
     cell_sql,
+    cents,
     centre_lat_sql,
     centre_lon_sql,
     distance_sql,
@@ -323,36 +324,30 @@ def vector_search(spark, sf_dir):
     return found.select("vec_id", "l2_dist")
 
 
-def hour_vectors(spark, sf_dir):
-    """Daily conditions per station cell: five channel means and the number of readings."""
-    from shoregrid.queries.aggregates import CHANNELS as KINDS
+VECTOR_PARTS = [(1, 12), (1, 15), (1, 360), (1, 5), (1, 40), (7, 360)]
+"""(factor, modulus) of each element: heights and speeds span little, the two directions a circle."""
+
 
+def hour_vectors(spark, sf_dir):
+    """A tag-like vector per station cell and hour, its elements derived from the largest reading."""
     user = F.col("user_id")
-    means = (
+    largest = (
         table(spark, sf_dir, "events")
         .groupBy(
             grid.cell_of(station_lon(user), station_lat(user)).alias("cell"),
             truncate("HOUR", F.col("ts")).alias("hour"),
         )
-        .agg(
-            *[
-                F.coalesce(F.avg(F.when(F.col("event_type") == k, F.col("value"))), F.lit(0.0)).alias(k)
-                for k in KINDS
-            ],
-            F.count(F.lit(1)).cast("double").alias("n"),
-        )
+        .agg(cents(F.max("value")).alias("n"))
     )
-    vector = F.array(F.col("cell").cast("double"), *[F.col(k) for k in KINDS], F.col("n"))
-    return means.select("cell", "hour", vector.alias("tag"))
+    elements = [(F.col("n") * f % m).cast("double") for f, m in VECTOR_PARTS]
+    return largest.select("cell", "hour", F.array(F.col("cell").cast("double"), *elements).alias("tag"))
 
 
-@query(f"""
-WITH v AS (
-    SELECT {cell_sql(LON_SQL, LAT_SQL)} AS cell, date_trunc('hour', ts) AS hour,
-           {", ".join(f"coalesce(avg(value) FILTER (event_type = '{k}'), 0e0) AS {k}"
-                      for k in ("click", "view", "purchase", "signup", "error"))},
-           CAST(count(*) AS DOUBLE) AS n
-    FROM events GROUP BY 1, 2),
+VECTOR_SQL = f"""
+v AS (
+    SELECT cell, hour, {", ".join(f"CAST(n * {f} % {m} AS DOUBLE) AS e{i}" for i, (f, m) in enumerate(VECTOR_PARTS, 2))}
+    FROM (SELECT {cell_sql(LON_SQL, LAT_SQL)} AS cell, date_trunc('hour', ts) AS hour,
+                 CAST(floor(max(value) * 100) AS BIGINT) AS n FROM events GROUP BY 1, 2)),
 m AS (
     SELECT event_id, cell, hour FROM (
         SELECT p.event_id, v.cell, v.hour,
@@ -363,11 +358,14 @@ m AS (
     WHERE rn = 1),
 pair AS (
     SELECT q.cell AS q_cell, q.hour AS q_hour, s.cell AS s_cell, s.hour AS s_hour,
-           sqrt((s.click - q.click) * (s.click - q.click) + (s.view - q.view) * (s.view - q.view)
-              + (s.purchase - q.purchase) * (s.purchase - q.purchase) + (s.signup - q.signup) * (s.signup - q.signup)
-              + (s.error - q.error) * (s.error - q.error) + (s.n - q.n) * (s.n - q.n)) AS d
+           sqrt({" + ".join(f"(s.e{i} - q.e{i}) * (s.e{i} - q.e{i})" for i in range(2, 8))}) AS d
     FROM (SELECT DISTINCT v.* FROM v JOIN m USING (cell, hour)) q JOIN v s
-      ON abs(s.click - q.click) < 10 AND abs(s.view - q.view) < 10)
+      ON abs(s.e4 - q.e4) < 10 AND abs(s.e7 - q.e7) < 10)
+"""
+
+
+@query(f"""
+WITH {VECTOR_SQL}
 SELECT m.event_id, m.hour AS matched_hour, p.s_cell AS similar_cell, p.s_hour AS similar_hour, round(p.d, 6) AS l2_dist
 FROM m JOIN pair p ON p.q_cell = m.cell AND p.q_hour = m.hour WHERE p.d < 10e0
 """)
@@ -381,7 +379,7 @@ def search_by_media(spark, sf_dir):
     )
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vectors = written(hour_vectors(spark, sf_dir).repartition(files, "cell", "hour"), "hour-vectors")
-    found = media_search(media, vectors, "event_id", "ts", "hour", "tag", cut=(2, 3, 4, 5), digits=6)
+    found = media_search(media, vectors, "event_id", "ts", "hour", "tag", digits=6)
     return found.select(
         "event_id",
         F.col("matched_ts").alias("matched_hour"),
