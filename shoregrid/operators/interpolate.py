@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoregrid.functions.moments import nearest_hour
 from shoregrid.functions.numbers import round_half_away, sentinel_to_null
-from shoregrid.operators.sized import fits_broadcast, join_dimension, settled
+from shoregrid.operators.sized import fits_broadcast, join_dimension, settled, written
 
 
 NEAR_GROWTH = 25
@@ -64,7 +64,8 @@ def idw(
     Readings of one station and time are summed up before they are handed to the up to 25 cells
     around it (sums commute with the weights), then laid out by time. As the final grouping
     contains the time, the 25-fold rows are aggregated where they arise and never shuffled,
-    provided the station table can be broadcast.
+    provided the station table can be broadcast. If it cannot, the summed readings are written once:
+    the join then reads them twice, to find stations that have very many and to spread these.
     """
     parts: list[Column] = []
     for c in channels:
@@ -87,6 +88,8 @@ def idw(
     links = settled(near.select(station, "cell", "dist", "weight"), "near", growth=NEAR_GROWTH)
     if fits_broadcast(links):
         slim = slim.repartition(ts)
+    else:
+        slim = written(slim, "readings")
     spread_out = join_dimension(slim, links, [station])
 
     def result(c: str) -> Column:

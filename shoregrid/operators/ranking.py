@@ -21,6 +21,8 @@ def numbered(
 
     A group above `slice_rows` (without keys: the whole table) is cut into equal ranges of the
     order value. Positions are the rank inside the range plus the rows in the ranges before it.
+    The tables of such groups and of their ranges hold about one row per `slice_rows` input rows,
+    so they are broadcast and the rows are shuffled once, for the rank inside the range.
     """
     size = F.count(F.lit(1)).alias("_rows")
     rows = df.withColumn("_x", order)
@@ -34,7 +36,7 @@ def numbered(
         F.ceil(F.col("_rows") / slice_rows).alias("_parts"),
     )
     if keys:
-        rows = rows.join(big, keys, "left")
+        rows = rows.join(F.broadcast(big), keys, "left")
     else:
         one = big.select(F.struct("_lo", "_hi", "_parts").alias("s"))
         rows = rows.withColumn("_s", one.scalar()).select("*", "_s.*").drop("_s")
@@ -57,7 +59,7 @@ def numbered(
     local = Window.partitionBy(*keys, "_slot").orderBy(F.col("_x").asc_nulls_first(), F.col(tie))
     return (
         rows.withColumn("_local", F.row_number().over(local))
-        .join(offsets, [*keys, "_slot"], "left")
+        .join(F.broadcast(offsets), [*keys, "_slot"], "left")
         .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
         .select(*df.columns, name)
     )

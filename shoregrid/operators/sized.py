@@ -1,9 +1,10 @@
 """Joins that stay fast whether the smaller side fits in memory or not, and whether keys are even or not.
 
 `join_dimension` broadcasts its second input only when the planner's size estimate is below the
-session's broadcast limit. Beyond it, rows of heavily used keys are spread over many tasks
-(the matching dimension rows are repeated once per spread value, all others are not), so one key
-holding a third of the fact rows does not end in one task.
+session's broadcast limit. Beyond it, rows of keys with a million rows or more are spread over many
+tasks (the matching dimension rows are repeated once per spread value, all others are not), so one
+key holding a third of the fact rows does not end in one task. The table of such keys has at most
+one row per million fact rows, which is what makes it safe to broadcast.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 from shoregrid.session import work_path
 
-HOT_SHARE = 0.001
-"""A key is hot when it holds at least this share of the rows: there are at most 1000 hot keys."""
+HOT_ROWS = 1_000_000
+"""A key is hot from this many rows on: there is at most one hot key per million rows."""
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
@@ -61,11 +62,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding at least `share` of all rows: at most 1/share rows, whatever the input size."""
-    total = df.agg(F.count(F.lit(1)).alias("total"))
+def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of at least `rows` rows, found in one pass over the key columns with map-side counts."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") >= total.scalar() * F.lit(share)).select(*keys)
+    return counts.where(F.col("_rows") >= rows).select(*keys)
 
 
 def spread(df: DataFrame, ways: int) -> Column:
@@ -84,19 +84,25 @@ def join_dimension(
     how: str = "inner",
     residual: Column | None = None,
     growth: int = 1,
-    share: float = HOT_SHARE,
+    even: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi join of a large with a usually smaller side; `how` is inner, left, left_semi or left_anti.
 
     `residual` is a further condition over columns of both sides, whose other names must differ.
+    `even=True` says that keys hardly repeat in `fact` or that it is costly to compute: it is then
+    not counted beforehand, and partitions that turn out large are split by the adaptive skew join.
     """
     fact_cols = fact.columns
     if fits_broadcast(dim, growth):
         left, right, keys = fact, dim, on
         wrap = F.broadcast
+    elif even:
+        left, right, keys = fact, dim, on
+        wrap = lambda d: d
     else:
         ways = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-        hot = F.broadcast(hot_keys(fact, on, share).withColumn("_hot", F.lit(True)))
+        hot = F.broadcast(hot_keys(fact, on, hot_rows).withColumn("_hot", F.lit(True)))
         lost = functools.reduce(operator.or_, [F.col(k).isNull() for k in on])
         left = (
             fact.join(hot, on, "left")

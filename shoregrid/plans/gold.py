@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shoregrid.functions.media import photo_time, signed_degrees
 from shoregrid.functions.numbers import round_half_away
+from shoregrid.operators.sized import join_dimension, settled
 from shoregrid.operators.search import make_vector, search_by_media
 from shoregrid.plans.silver import between
 
@@ -34,17 +35,10 @@ def merged_conditions(
     tide are first cut to cells that have buoy rows at all.
     """
     base = between(buoys, start, end, ts)
-    active = base.select("cell").distinct()
-    speeds = (
-        between(wind, start, end, ts)
-        .join(active, "cell", "left_semi")
-        .select("cell", ts, "wind_speed_ms", "wind_dir")
-    )
-    levels = (
-        between(tides, start, end, ts)
-        .join(active, "cell", "left_semi")
-        .select("cell", ts, "idw_mm")
-    )
+    active = settled(base.select("cell").distinct(), "active-cells")
+    keep = lambda df: join_dimension(between(df, start, end, ts), active, ["cell"], "left_semi")
+    speeds = keep(wind.select("cell", ts, "wind_speed_ms", "wind_dir"))
+    levels = keep(tides.select("cell", ts, "idw_mm"))
     return (
         base.join(levels, ["cell", ts], "left")
         .join(speeds, ["cell", ts], "left")

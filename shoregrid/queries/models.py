@@ -292,7 +292,7 @@ tag AS (
 
 def tags(spark, sf_dir):
     return gold.condition_tags(
-        _buoy_idw(spark, sf_dir),
+        written(_buoy_idw(spark, sf_dir), "buoy-idw"),
         silver.wind_measurements(wind_rows(spark, sf_dir)),
         _tide_idw(spark, sf_dir),
     )

@@ -213,7 +213,7 @@ def test_join_dimension_same_both_ways(spark, how):
     results = []
     for limit in ("10485760", "-1"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-        df = sized.join_dimension(fact, dim, ["k"], how, residual, share=0.05)
+        df = sized.join_dimension(fact, dim, ["k"], how, residual, hot_rows=500)
         results.append(sorted(df.collect(), key=repr))
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     plain = fact.alias("f").join(dim.alias("d"), (F.col("f.k") == F.col("d.k")) & residual, how)
