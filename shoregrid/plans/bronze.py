@@ -17,8 +17,7 @@ from shoregrid.operators.spatial import clip_to_cells, nearest_grid
 
 def file_year(filename: Column) -> Column:
     """Year at the end of a file name, before its `.txt`."""
-    stem = F.element_at(F.split(filename, "[.]txt"), 1)
-    return text.tail_slice(stem, -4, -1).try_cast("int")
+    return text.tail_slice(text.part(filename, ".txt", 1), -4, -1).try_cast("int")
 
 
 def first_measurement_field(filename: Column) -> Column:

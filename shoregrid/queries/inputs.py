@@ -8,8 +8,26 @@ from pyspark.sql import functions as F
 from shoregrid.functions import grid, text
 
 
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "pages": "page_id long, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table with its declared schema: no job to infer it from file footers."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def station_lon(user: Column) -> Column:
@@ -113,7 +131,12 @@ TOKENS = [
 
 
 def buoy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as raw buoy text: even stations write files with a minute column, odd ones without."""
+    """Events as raw buoy text: even stations write files with a minute column, odd ones without.
+
+    Raw text arrives as many files; the rows are spread evenly to stand in for that, as a small
+    table may sit in one file that a single task reads.
+    """
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n, even = F.col("n"), F.col("user_id") % 2 == 0
     recipe = F.array(
         *[
@@ -137,7 +160,11 @@ def buoy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.zero_pad(F.col("user_id"), 5),
         F.when(even, F.lit("h2024.txt.gz")).otherwise(F.lit("h2004.txt.gz")),
     )
-    events = table(spark, sf_dir, "events").withColumn("n", cents(F.col("value")))
+    events = (
+        table(spark, sf_dir, "events")
+        .select("event_id", "user_id", "ts", cents(F.col("value")).alias("n"))
+        .repartition(files, "event_id")
+    )
     line = F.concat_ws("  ", time, F.transform(recipe, token))
     return events.select(name.alias("filename"), line.alias("value"))
 
