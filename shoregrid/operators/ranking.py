@@ -9,6 +9,41 @@ from pyspark.sql.window import Window
 SLICE_ROWS = 1_000_000
 
 
+def _sliced(
+    rows: DataFrame, groups: list[str], value: str, name: str, slice_rows: int, within: str | None = None
+) -> DataFrame:
+    """Add a slot number that cuts groups above `slice_rows` into equal ranges of a number column.
+
+    With `within`, only groups in which that column is constant are cut. The table of such groups
+    has less than one row per `slice_rows` input rows, so it can be broadcast.
+    """
+    constant = F.lit(True)
+    if within:
+        filled = F.count(within)
+        constant = (filled == 0) | ((filled == F.count(F.lit(1))) & (F.min(within) == F.max(within)))
+    big = (
+        rows.groupBy(*groups)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min(value).cast("double").alias("_lo"),
+            F.max(value).cast("double").alias("_hi"),
+            constant.alias("_constant"),
+        )
+        .where((F.col("_rows") > slice_rows) & (F.col("_hi") > F.col("_lo")) & F.col("_constant"))
+        .select(*groups, "_lo", "_hi", F.ceil(F.col("_rows") / slice_rows).alias("_parts"))
+    )
+    if groups:
+        joined = rows.join(F.broadcast(big), groups, "left")
+    else:
+        bounds = big.select(F.struct("_lo", "_hi", "_parts").alias("s"))
+        joined = rows.withColumn("_s", bounds.scalar()).select("*", "_s.*").drop("_s")
+    share = (F.col(value).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
+    slot = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
+    return joined.withColumn(name, F.coalesce(slot, F.lit(0).cast("long"))).drop(
+        "_lo", "_hi", "_parts"
+    )
+
+
 def numbered(
     df: DataFrame,
     keys: list[str],
@@ -20,46 +55,27 @@ def numbered(
     """`row_number` per key by a number or time, then by `tie`; NULLs first.
 
     A group above `slice_rows` (without keys: the whole table) is cut into equal ranges of the
-    order value. Positions are the rank inside the range plus the rows in the ranges before it.
-    The tables of such groups and of their ranges hold about one row per `slice_rows` input rows,
-    so they are broadcast and the rows are shuffled once, for the rank inside the range.
+    order value; ranges that are still too full once more, and then, where they hold a single
+    value, by the tie column. Positions are the rank inside the range plus the rows before it.
     """
-    size = F.count(F.lit(1)).alias("_rows")
-    rows = df.withColumn("_x", order)
-    stats = rows.groupBy(*keys).agg(
-        size, F.min("_x").alias("_lo"), F.max("_x").cast("double").alias("_hi")
-    )
-    big = stats.where((F.col("_rows") > slice_rows) & (F.col("_hi") > F.col("_lo"))).select(
-        *keys,
-        F.col("_lo").cast("double").alias("_lo"),
-        "_hi",
-        F.ceil(F.col("_rows") / slice_rows).alias("_parts"),
-    )
-    if keys:
-        rows = rows.join(F.broadcast(big), keys, "left")
-    else:
-        one = big.select(F.struct("_lo", "_hi", "_parts").alias("s"))
-        rows = rows.withColumn("_s", one.scalar()).select("*", "_s.*").drop("_s")
-    x = F.col("_x").cast("double")
-    slot = F.least(
-        F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_parts")),
-        F.col("_parts") - 1,
-    )
-    rows = rows.withColumn("_slot", F.coalesce(slot, F.lit(0).cast("long"))).drop(
-        "_lo", "_hi", "_parts"
-    )
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = ["_s1", "_s2"]
+    rows = _sliced(df.withColumn("_x", order), keys, "_x", "_s1", slice_rows)
+    rows = _sliced(rows, [*keys, "_s1"], "_x", "_s2", slice_rows)
+    if dict(df.dtypes)[tie] in ("int", "bigint", "double"):
+        rows = _sliced(rows.withColumn("_tie", F.col(tie)), [*keys, *slots], "_tie", "_s3", slice_rows, "_x")
+        slots.append("_s3")
+    before = Window.partitionBy(*keys).orderBy(*slots).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*keys, "_slot")
-        .agg(size)
+        rows.groupBy(*keys, *slots)
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_before", F.sum("_rows").over(before))
         .where("_before is not null")
         .drop("_rows")
     )
-    local = Window.partitionBy(*keys, "_slot").orderBy(F.col("_x").asc_nulls_first(), F.col(tie))
+    local = Window.partitionBy(*keys, *slots).orderBy(F.col("_x").asc_nulls_first(), F.col(tie))
     return (
         rows.withColumn("_local", F.row_number().over(local))
-        .join(F.broadcast(offsets), [*keys, "_slot"], "left")
+        .join(F.broadcast(offsets), [*keys, *slots], "left")
         .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
         .select(*df.columns, name)
     )

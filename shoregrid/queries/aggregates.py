@@ -181,7 +181,7 @@ SELECT event_id, CAST(ntile(40) OVER (ORDER BY event_id) AS INTEGER) AS tile FRO
 def even_split(spark, sf_dir):
     """The whole table in 40 consecutive parts, numbered without gathering it in one task."""
     events = table(spark, sf_dir, "events").select("event_id")
-    return ranking.even_split(events, 40, F.col("event_id"), "event_id", slice_rows=100_000)
+    return ranking.even_split(events, 40, F.col("event_id"), "event_id")
 
 
 @query("""

@@ -172,3 +172,40 @@ GROUP BY event_id
 def quadkeys(spark, sf_dir):
     lon, lat = station_lon(F.col("user_id")), station_lat(F.col("user_id"))
     return table(spark, sf_dir, "events").select("event_id", grid.quadkey(lon, lat, 6).alias("quadkey"))
+
+
+@query(f"""
+WITH {STATION_SQL},
+pair AS (SELECT a.user_id AS line_id, a.lon AS ax, a.lat AS ay, b.lon AS bx, b.lat AS "by"
+         FROM station a JOIN station b ON b.user_id = a.user_id + 1 AND b.lat = a.lat),
+seg AS (SELECT DISTINCT * FROM pair),
+box AS (
+    SELECT *, CAST(floor((least(ax, bx) + 179.4e0) * 2) AS BIGINT) AS x0,
+           CAST(floor((greatest(ax, bx) + 180.6e0) * 2) AS BIGINT) + 1 AS x1,
+           CAST(floor((least(ay, "by") + 89.4e0) * 2) AS BIGINT) AS y0,
+           CAST(floor((greatest(ay, "by") + 90.6e0) * 2) AS BIGINT) + 1 AS y1 FROM seg),
+cand AS (
+    SELECT *, iy * 720 + ix AS cell, (ix + 0.5e0) / 2 - 180e0 AS px, (iy + 0.5e0) / 2 - 90e0 AS py
+    FROM (SELECT *, unnest(range(x0, x1)) AS ix FROM (SELECT *, unnest(range(y0, y1)) AS iy FROM box))),
+along AS (
+    SELECT *, least(greatest(coalesce(((px - ax) * (bx - ax) + (py - ay) * ("by" - ay))
+              / nullif((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay), 0), 0), 0), 1) AS t FROM cand)
+SELECT DISTINCT line_id, cell FROM along
+WHERE (px - ax - t * (bx - ax)) * (px - ax - t * (bx - ax))
+    + (py - ay - t * ("by" - ay)) * (py - ay - t * ("by" - ay)) <= 0.36e0
+""")
+def coast_shapes(spark, sf_dir):
+    """Which cells each line between consecutive stations covers."""
+    from shoregrid.plans.dimensions import coast_shapes as shapes
+
+    base = stations(spark, sf_dir).select("user_id", "lon", "lat")
+    after = base.select(
+        (F.col("user_id") - 1).alias("user_id"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2")
+    )
+    ends = [grid.point(F.col("lon"), F.col("lat")), grid.point(F.col("lon2"), F.col("lat2"))]
+    lines = (
+        base.join(after, "user_id")
+        .where("lat = lat2")
+        .select(F.col("user_id").alias("line_id"), F.array(*ends).alias("line"))
+    )
+    return shapes(lines, "line_id")

@@ -248,6 +248,17 @@ def test_numbering_in_slices_equals_one_window(spark):
         assert sorted(got.collect()) == sorted(want.withColumn("pos", F.col("pos").cast("long")).collect())
 
 
+def test_numbering_where_most_rows_share_one_value(spark):
+    from pyspark.sql.window import Window
+
+    x = F.when(F.col("id") % 2 == 0, 500).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 1000)
+    df = spark.range(4000).select((4000 - F.col("id")).alias("id"), F.lit("hot").alias("k"), x.alias("x"))
+    got = ranking.numbered(df, ["k"], F.col("x"), "id", "pos", slice_rows=50)
+    order = Window.partitionBy("k").orderBy(F.col("x").asc_nulls_first(), "id")
+    want = df.withColumn("pos", F.row_number().over(order).cast("long"))
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
 def test_even_split_and_batches(spark):
     df = spark.range(23).toDF("id")
     tiles = ranking.even_split(df, 4, F.col("id"), "id", slice_rows=5).collect()
