@@ -48,7 +48,8 @@ def normalise_lon(lon: Column) -> Column:
 
 def cell_of(lon: Column, lat: Column) -> Column:
     col = F.pmod(F.floor((lon + 180.0) * PER_DEGREE), F.lit(COLUMNS))
-    row = F.least(F.floor((lat + 90.0) * PER_DEGREE), F.lit(ROWS - 1))
+    # `least` and `greatest` skip NULLs: unknown places must stay unknown.
+    row = F.when(lat.isNotNull(), F.least(F.floor((lat + 90.0) * PER_DEGREE), F.lit(ROWS - 1)))
     return (row * COLUMNS + col).cast("long")
 
 
@@ -98,7 +99,8 @@ def great_circle_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Co
     h = F.pow(F.sin(dlat / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(
         F.radians(lat2)
     ) * F.pow(F.sin(dlon / 2), F.lit(2.0))
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
+    half_angle = F.when(h.isNotNull(), F.asin(F.least(F.sqrt(h), F.lit(1.0))))
+    return F.lit(2 * EARTH_RADIUS_M) * half_angle
 
 
 def segment_distance_sq(
@@ -133,7 +135,8 @@ def quadkey(lon: Column, lat: Column, zoom: int) -> Column:
     fy = F.lit(0.5) - F.log((1.0 + s) / (1.0 - s)) / (4 * math.pi)
 
     def tile(fraction: Column) -> Column:
-        return F.least(F.greatest(F.floor(fraction * tiles), F.lit(0)), F.lit(tiles - 1))
+        inside = F.least(F.greatest(F.floor(fraction * tiles), F.lit(0)), F.lit(tiles - 1))
+        return F.when(fraction.isNotNull(), inside)
 
     def bit(number: Column, level: int) -> Column:
         return F.shiftright(number, level).bitwiseAND(F.lit(1))

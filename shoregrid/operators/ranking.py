@@ -38,7 +38,10 @@ def _sliced(
         bounds = big.select(F.struct("_lo", "_hi", "_parts").alias("s"))
         joined = rows.withColumn("_s", bounds.scalar()).select("*", "_s.*").drop("_s")
     share = (F.col(value).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    slot = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
+    # `least` skips NULLs, so a missing value must be kept out of it to stay in the first slot.
+    slot = F.when(
+        share.isNotNull(), F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
+    )
     return joined.withColumn(name, F.coalesce(slot, F.lit(0).cast("long"))).drop(
         "_lo", "_hi", "_parts"
     )

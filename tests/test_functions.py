@@ -107,6 +107,19 @@ def test_cells_and_disks(spark):
     assert len(pole) == 15 and len(set(pole)) == 15
 
 
+def test_unknown_places_stay_unknown(spark):
+    none, lon = F.lit(None).cast("double"), F.lit(-157.0)
+    got = one(
+        spark,
+        grid.cell_of(lon, none),
+        grid.cell_of(none, lon),
+        grid.great_circle_m(lon, none, lon, lon),
+        grid.quadkey(lon, none, 6),
+        numbers.round_half_away(none, 2),
+    )
+    assert tuple(got) == (None,) * 5
+
+
 def test_point_text(spark):
     got, bad = one(
         spark,
