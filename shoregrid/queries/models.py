@@ -473,3 +473,54 @@ def tide_stations(spark, sf_dir):
     )
 
 
+KINDS = ("click", "view", "purchase", "signup", "error")
+
+
+@query(f"""
+WITH v AS (
+    SELECT {cell_sql(LON_SQL, LAT_SQL)} AS cell, date_trunc('hour', ts) AS hour,
+           {", ".join(f"coalesce(avg(value) FILTER (event_type = '{k}'), 0e0) AS {k}" for k in KINDS)},
+           CAST(count(*) AS DOUBLE) AS n
+    FROM events GROUP BY 1, 2),
+m AS (
+    SELECT event_id, cell, hour FROM (
+        SELECT p.event_id, v.cell, v.hour,
+               row_number() OVER (PARTITION BY p.event_id
+                   ORDER BY abs(epoch_us(p.ts) - epoch_us(v.hour)), v.hour) AS rn
+        FROM (SELECT event_id, ts, {cell_sql(LON_SQL, LAT_SQL)} AS cell FROM events WHERE event_type = 'purchase') p
+        JOIN v ON v.cell = p.cell AND v.hour BETWEEN p.ts - INTERVAL 30 MINUTE AND p.ts + INTERVAL 30 MINUTE)
+    WHERE rn = 1),
+pair AS (
+    SELECT q.cell AS q_cell, q.hour AS q_hour, s.cell AS s_cell, s.hour AS s_hour,
+           sqrt({" + ".join(f"(s.{k} - q.{k}) * (s.{k} - q.{k})" for k in (*KINDS, "n"))}) AS d
+    FROM (SELECT DISTINCT v.* FROM v JOIN m USING (cell, hour)) q JOIN v s
+      ON abs(s.click - q.click) < 10 AND abs(s.view - q.view) < 10)
+SELECT m.event_id, m.hour AS matched_hour, p.s_cell AS similar_cell, p.s_hour AS similar_hour, round(p.d, 6) AS l2_dist
+FROM m JOIN pair p ON p.q_cell = m.cell AND p.q_hour = m.hour WHERE p.d < 10e0
+""")
+def search_by_channel_means(spark, sf_dir):
+    """The same search over channel means: most are 0, so a few bands hold most of the hours."""
+    user = F.col("user_id")
+    place = [station_lon(user).alias("lon"), station_lat(user).alias("lat")]
+    events = table(spark, sf_dir, "events")
+    media = events.where("event_type = 'purchase'").select("event_id", "ts", *place)
+    hour = truncate("HOUR", F.col("ts")).alias("hour")
+    mean = lambda k: F.avg(F.when(F.col("event_type") == k, F.col("value")))
+    means = events.groupBy(grid.cell_of(station_lon(user), station_lat(user)).alias("cell"), hour).agg(
+        *[F.coalesce(mean(k), F.lit(0.0)).alias(k) for k in KINDS],
+        F.count(F.lit(1)).cast("double").alias("n"),
+    )
+    tag = F.array(F.col("cell").cast("double"), *[F.col(k) for k in KINDS], F.col("n"))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    vectors = means.select("cell", "hour", tag.alias("tag")).repartition(files, "cell", "hour")
+    found = media_search(
+        media, written(vectors, "channel-means"), "event_id", "ts", "hour", "tag",
+        cut=(2, 3, 4, 5), digits=6,
+    )
+    return found.select(
+        "event_id",
+        F.col("matched_ts").alias("matched_hour"),
+        "similar_cell",
+        F.col("similar_ts").alias("similar_hour"),
+        "l2_dist",
+    )
