@@ -33,9 +33,14 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: the configured one, or (if unset) one of our own."""
+    """The folder that driver and executors share, as named in `spark.checkpoint.dir`.
+
+    Only in local mode, where driver and executors are one process, is one made where none is named.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="shoregrid-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

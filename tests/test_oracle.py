@@ -40,5 +40,6 @@ def test_same_result_without_broadcast(spark, con, no_broadcast, name):
 
 
 def test_every_query_has_sql_and_entry_runs(spark):
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    own = set(contract.queries()) - set(contract.llm.QUERIES if contract.llm else ()) - {"pipeline"}
+    assert own <= set(contract.oracle_sql())
     assert contract.entry(spark).count() > 0
