@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoregrid.llm import simhash
-from shoregrid.llm.common import table
+from shoregrid.llm import quality, simhash, toxicity
+from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,6 +19,21 @@ def _register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return fn
 
 
+@_register
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document and whether they keep it."""
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_register
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labelled rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = id_remainder("doc_id", 3) == 1
+    found = toxicity.scored(docs, labels.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @_register
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
