@@ -21,7 +21,7 @@ from shoregrid.llm.common import ready, written
 TREES = 200
 PSI = 64
 CLEAN_WEIGHT = 20.0
-DEFAULT_THRESHOLD = 0.62
+DEFAULT_THRESHOLD = 0.5
 SEED = 7
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -31,7 +31,9 @@ _SPACES = " \t\n\x0b\x0c\r"
 _LONG = re.compile(rb"[^\W\d_]{2}").search
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-FEATURES = ["symbols", "dup_lines", "repeats", "shouted", "marks", "stutter"]
+LIMITS = {"symbols": 0.1, "dup_lines": 0.34, "repeats": 0.2, "shouted": 0.3, "marks": 0.3, "stutter": 0.1}
+"""Shares (of words or lines) that sound text reaches too; a statistic is what lies beyond its limit."""
+FEATURES = list(LIMITS)
 
 
 def repeated_words(ids: np.ndarray, window: int = WINDOW_WORDS) -> int:
@@ -80,12 +82,17 @@ def statistics(text: str) -> tuple[float, ...]:
     stutter = int(np.count_nonzero(ids[1:] == ids[:-1]))
     return (
         *(n, chars, symbols, dup, repeat),
-        min(symbols / per, 2.0),
-        dup / max(len(lines), 1),
-        repeat / per,
-        shouted / per,
-        min(marks / per, 2.0),
-        stutter / per,
+        *(
+            max(0.0, min(share, most) - LIMITS[name])
+            for name, share, most in (
+                ("symbols", symbols / per, 2.0),
+                ("dup_lines", dup / max(len(lines), 1), 1.0),
+                ("repeats", repeat / per, 1.0),
+                ("shouted", shouted / per, 1.0),
+                ("marks", marks / per, 2.0),
+                ("stutter", stutter / per, 1.0),
+            )
+        ),
     )
 
 
