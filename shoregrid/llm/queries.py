@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import quality, simhash, toxicity
+from shoregrid.llm import packing, quality, simhash, token_files, toxicity
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,12 +20,38 @@ def _register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return fn
 
 
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@_register
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences whose lengths are powers of two."""
+    found = packing.packed(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+    return found.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
+    )
+
+
 @_register
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document and whether they keep it."""
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_register
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    folder = token_files.folder(spark)
+    manifest = token_files.write(table(spark, sf_dir, "documents"), WORD_TOKENIZER, folder)
+    return token_files.read(manifest, folder).select(
+        "doc_id",
+        "start",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 @_register
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learnt from the labelled rows that are not held out."""
