@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import packing, quality, simhash, token_files, toxicity
+from shoregrid.llm import bpe, packing, quality, simhash, token_files, toxicity
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+@_register
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by the byte-level ranks, and their decoding."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @_register
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""

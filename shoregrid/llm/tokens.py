@@ -1,8 +1,8 @@
-"""Token ids of whole texts by the tokenizers library, with the ids of repeated pieces remembered.
+"""Token ids of whole texts, with the ids of repeated pieces remembered.
 
 A text is cut where the tokenizer is certain to cut as well: before a single space (or line feed) that a
-non-space follows. Pieces are encoded by the library once and then looked up, because text
-repeats its words and the library needs over a microsecond a byte. What cannot be cut so simply
+non-space follows. Pieces are encoded once and then looked up, because text repeats its words
+and a tokenizer needs over a microsecond a byte. What cannot be cut so simply
 (runs of white space) is cut more carefully or encoded whole; ids are the same either way.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from collections.abc import Callable
 
 import numpy as np
 
@@ -23,32 +24,25 @@ _CAREFUL = re.compile(r"(?<!^)(?= \S)")
 class Encoder:
     """`encode` gives the ids of texts as little-endian unsigned 32-bit numbers.
 
-    `drops_spaces` is for tokenizers that ignore white space other than as a separator; the others
-    must be byte-level with the usual pattern, in which one space belongs to the word that follows.
+    `whole` encodes a list of texts; `drops_spaces` is for tokenizers that ignore white space other
+    than as a separator. The others must be byte-level with the usual pattern, in which one space
+    belongs to the word that follows.
     """
 
-    def __init__(self, path: str, drops_spaces: bool) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    def __init__(self, whole: Callable[[list[str]], list[bytes]], drops_spaces: bool) -> None:
+        self.whole = whole
         self.drops_spaces = drops_spaces
         self.cache: dict[str, bytes | None] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
     def _learn(self, pieces: set[str]) -> None:
         new = list(pieces.difference(self.cache))
         if self.drops_spaces:
-            self.cache.update(zip(new, self._ids(new)))
+            self.cache.update(zip(new, self.whole(new)))
             return
         odd = [p for p in new if not p or p.isspace() or (p[1] if p[0] == "\n" else p[0]).isspace()]
         self.cache.update(dict.fromkeys(odd))
         new = list(set(new).difference(odd))
-        self.cache.update(zip(new, self._ids([p if p[0] == "\n" else " " + p for p in new])))
+        self.cache.update(zip(new, self.whole([p if p[0] == "\n" else " " + p for p in new])))
 
     def _careful(self, text: str) -> bytes:
         first, *rest = _CAREFUL.split(text)
@@ -56,8 +50,8 @@ class Encoder:
         self._learn(set(keys))
         parts = [self.cache[k] for k in keys]
         if None in parts:
-            return self._ids([text])[0]
-        return b"".join([*self._ids([first]), *parts])
+            return self.whole([text])[0]
+        return b"".join([*self.whole([first]), *parts])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHED_PIECES:
@@ -79,5 +73,15 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str, drops_spaces: bool) -> Encoder:
-    """One encoder per Python worker, kept from task to task."""
-    return Encoder(path, drops_spaces)
+    """One encoder by the tokenizers library per Python worker, kept from task to task."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    def whole(texts: list[str]) -> list[bytes]:
+        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    return Encoder(whole, drops_spaces)
