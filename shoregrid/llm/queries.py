@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import bpe, packing, quality, simhash, token_files, toxicity
+from shoregrid.llm import bpe, lm_score, packing, quality, simhash, token_files, toxicity
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = id_remainder("doc_id", 7) == 2
+    found = lm_score.scored(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), *found.columns[1:])
