@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import bpe, lm_score, packing, quality, simhash, token_files, toxicity
+from shoregrid.llm import bpe, html_text, lm_score, packing, quality, simhash, token_files, toxicity
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @_register
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document, learnt from those that are not held out."""
