@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import bpe, html_text, lm_score, packing, quality, simhash, token_files, toxicity
+from shoregrid.llm import bpe, html_text, licenses, lm_score, neighbours, packing, quality, simhash, token_files, toxicity
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@_register
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0)
+
+
 @_register
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
@@ -87,3 +93,9 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 7) == 2
     found = lm_score.scored(docs, ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), *found.columns[1:])
+
+
+@_register
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licenses.found(table(spark, sf_dir, "documents"))
