@@ -127,7 +127,10 @@ def grow(points: np.ndarray, seed: int = SEED) -> dict:
         return 0.0 if n < 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
     for tree in range(TREES):
-        rows = points[tree::TREES][:PSI]
+        if len(points) >= TREES * PSI:  # every tree has rows of its own
+            rows = points[tree::TREES][:PSI]
+        else:
+            rows = points[rng.permutation(len(points))[:PSI]]
         roots.append(len(feature))
         queue = [(rows, 0, len(feature))]
         feature.append(-1), split.append(0.0), left.append(-1), length.append(0.0)
@@ -148,7 +151,7 @@ def grow(points: np.ndarray, seed: int = SEED) -> dict:
             for child in (part[below], part[~below]):
                 queue.append((child, level + 1, len(feature)))
                 feature.append(-1), split.append(0.0), left.append(-1), length.append(0.0)
-    used = min(PSI, max(1, len(points) // TREES)) if len(points) else 1
+    used = min(PSI, len(points))
     return {
         "feature": np.array(feature, np.int16),
         "split": np.array(split),
