@@ -498,12 +498,13 @@ def test_lm_query(spark, documents):
 def test_spelling_probabilities_add_up():
     """Over all one-byte words and what longer words leave, the probability is one."""
     words = [b"abc", b"abd", b"xyz", b"a", b""]
-    table = mixing.counts(words, 14)
-    weights, _, followed = mixing.learn(words, table)
+    table = mixing.counts(words * 3, 14)
+    weights, _, followed = mixing.learn(words, mixing.Odds(table, True))
+    odds = mixing.Odds(table, False)
     refine = mixing.refinement(followed)
-    price = 10 ** mixing.log10_spelling([b"", *(bytes([c]) for c in range(256) if c != 32)], table, weights, refine)
+    price = 10 ** mixing.log10_spelling([b"", *(bytes([c]) for c in range(256) if c != 32)], odds, weights, refine)
     assert 0 < price.sum() < 1
-    seen = 10 ** mixing.log10_spelling([b"abc", b"qqq"], table, weights, refine)
+    seen = 10 ** mixing.log10_spelling([b"abc", b"qqq"], odds, weights, refine)
     assert seen[0] > 100 * seen[1]
 
 
