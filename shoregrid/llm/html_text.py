@@ -189,12 +189,11 @@ class Page:
         return [(p, s / total) for p, s in best if s > 0]
 
     def text(self, winners: list[str]) -> str:
-        """The blocks in the winning path that scores best here, or else in the page's own best path."""
-        known = [p for p in winners if p in self.scores]
-        rank = [(self.scores[p], p) for p in known or self.scores]
-        if not rank:
+        """The blocks in the first of the winning paths that is here, or else in the page's own best path."""
+        if not self.scores:
             return ""
-        chosen = max(rank, key=lambda x: (x[0], x[1]))[1]
+        own = min(self.scores, key=lambda p: (-self.scores[p], p))
+        chosen = next((p for p in winners if p in self.scores), own)
         inside = [False] * len(self.paths)
         for k, path in enumerate(self.paths):  # parents come before their children
             inside[k] = path == chosen or (self.parents[k] >= 0 and inside[self.parents[k]])
@@ -202,7 +201,7 @@ class Page:
 
 
 def winners(pages: DataFrame) -> DataFrame:
-    """(host, paths): the paths that won at each host; counted with partial sums, so a large host is no hot spot."""
+    """(host, paths): the paths that won at each host, most votes first; counted with partial sums, so a large host is no hot spot."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -217,7 +216,8 @@ def winners(pages: DataFrame) -> DataFrame:
     votes = written(votes.groupBy("host", "path").agg(F.sum("share").alias("votes")), "votes")
     totals = votes.groupBy("host").agg(F.sum("votes").alias("total"))
     won = votes.join(totals, "host").where(F.col("votes") >= WINNING_SHARE * F.col("total"))
-    return written(won.groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("paths")), "winners")
+    ranked = F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path")))
+    return written(won.groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths")), "winners")
 
 
 def _host() -> Column:
