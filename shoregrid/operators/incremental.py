@@ -11,8 +11,11 @@ from shoregrid.operators.sized import join_dimension
 
 
 def unseen(df: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not in the target. Keys identify rows, so they are not counted first."""
-    return join_dimension(df, target.select(*keys).distinct(), keys, "left_anti", even=True)
+    """Rows whose key is not in the target; a missing key column equals a missing one.
+
+    Keys identify rows, so they are not counted first.
+    """
+    return join_dimension(df, target.select(*keys).distinct(), keys, "left_anti", even=True, null_safe=True)
 
 
 def pending(

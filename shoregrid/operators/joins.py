@@ -9,9 +9,8 @@ from pyspark.sql.window import Window
 from shoregrid.functions.moments import micros
 from shoregrid.operators.sized import join_dimension
 
-CROWDED_ROWS = 64
-CROWDED_SHARE = 1e-5
-MAX_SLOTS = 100_000
+SCD_GROWTH = 3
+"""How many copies of a history row `scd_join` makes at most, on average over each key."""
 
 
 def scd_join(
@@ -25,63 +24,47 @@ def scd_join(
 ) -> DataFrame:
     """Fact rows with the history rows of their key that hold at their time (both ends included).
 
-    An open end (NULL) holds forever. Keys with a long history get their time line cut into about
-    as many slots as they have rows, and join on (key, slot): without that, every fact of such a
-    key would be compared with its whole history. At most 100,000 keys qualify, so the slot table
-    is small by construction; all other keys use slot 0.
+    An open end (NULL) holds forever. The time line of every key is cut into slots, and the join is
+    on (key, slot), so a fact never meets the whole history of a long key. A slot is as wide as the
+    key's rows hold on average, and no narrower than its time span divided by its rows: the rows of
+    a key then lie in at most SCD_GROWTH slots each on average, whatever their number and lengths.
     """
-    total = history.agg(F.count(F.lit(1)).alias("total"))
     start_us, end_us = micros(F.col(start)), micros(F.col(end))
-    crowded = (
+    closed = F.when(end_us.isNotNull(), F.greatest(end_us - start_us, F.lit(0)).cast("double"))
+    opened = F.when(end_us.isNull(), start_us.cast("double"))
+    span = F.col("_to") - F.col("_from")
+    held = F.coalesce("_closed", F.lit(0.0)) + F.col("_n_open") * F.col("_to") - F.coalesce("_opened", F.lit(0.0))
+    slots = (
         history.groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.min(start_us).alias("_from"),
             F.max(F.greatest(start_us, F.coalesce(end_us, start_us))).alias("_to"),
+            F.sum(closed).alias("_closed"),
+            F.count_if(end_us.isNull()).alias("_n_open"),
+            F.sum(opened).alias("_opened"),
         )
-        .where(
-            (F.col("_rows") > CROWDED_ROWS)
-            & (F.col("_rows") >= total.scalar() * F.lit(CROWDED_SHARE))
-        )
-        .withColumn("_slots", F.least(F.col("_rows"), F.lit(MAX_SLOTS)))
-        .withColumn(
-            "_width",
-            F.greatest(F.ceil((F.col("_to") - F.col("_from")) / F.col("_slots")), F.lit(1)),
-        )
-        .select(key, "_from", "_slots", "_width")
+        .withColumn("_width", F.ceil(F.greatest(span / F.col("_rows"), held / F.col("_rows"), F.lit(1.0))))
+        .withColumn("_last", F.floor(span / F.col("_width")))
+        .select(key, "_from", "_width", "_last")
     )
 
     def slot(us: Column) -> Column:
         raw = F.floor((us - F.col("_from")) / F.col("_width"))
-        return F.coalesce(F.least(F.greatest(raw, F.lit(0)), F.col("_slots")), F.lit(0))
+        return F.least(F.greatest(raw, F.lit(0)), F.col("_last"))
 
-    helpers = ("_from", "_slots", "_width")
-    facts = (
-        fact.join(F.broadcast(crowded), key, "left")
-        .withColumn("_slot", slot(micros(F.col(ts))))
-        .drop(*helpers)
-    )
+    helpers = ("_from", "_width", "_last")
+    facts = join_dimension(fact, slots, [key]).withColumn("_slot", slot(micros(F.col(ts)))).drop(*helpers)
+    through = F.when(F.col(end).isNull(), F.col("_last")).otherwise(slot(end_us))
     rows = (
-        history.join(F.broadcast(crowded), key, "left")
-        .withColumn(
-            "_slot",
-            F.explode(
-                F.sequence(
-                    slot(start_us),
-                    F.greatest(
-                        slot(start_us),
-                        F.when(F.col(end).isNull(), F.coalesce(F.col("_slots"), F.lit(0)))
-                        .otherwise(slot(end_us)),
-                    ),
-                )
-            ),
-        )
+        join_dimension(history, slots, [key])
+        .withColumn("_slot", F.explode(F.sequence(slot(start_us), F.greatest(slot(start_us), through))))
         .drop(*helpers)
     )
     holds = F.col(ts).between(F.col(start), F.coalesce(F.col(end), F.col(ts)))
     if residual is not None:
         holds = holds & residual
-    return join_dimension(facts, rows, [key, "_slot"], residual=holds).drop("_slot")
+    return join_dimension(facts, rows, [key, "_slot"], residual=holds, growth=SCD_GROWTH).drop("_slot")
 
 
 def nearest_in_time(
@@ -177,10 +160,16 @@ def nearest_in_time(
     return found.select(*points.columns, "_row.*")
 
 
-def newer_than(df: DataFrame, loaded: DataFrame, key: str, ts: str) -> DataFrame:
-    """Rows later than the newest loaded row of their key; keys never loaded are left out."""
+def newer_than(df: DataFrame, loaded: DataFrame, key: str, ts: str, compat: bool = False) -> DataFrame:
+    """Rows later than the newest loaded row of their key, and all rows of keys never loaded.
+
+    `compat=True` leaves keys never loaded out, as the old model did.
+    """
     newest = loaded.groupBy(key).agg(F.max(ts).alias("_newest"))
-    return join_dimension(df, newest, [key], residual=F.col(ts) > F.col("_newest")).drop("_newest")
+    if compat:
+        return join_dimension(df, newest, [key], residual=F.col(ts) > F.col("_newest")).drop("_newest")
+    found = join_dimension(df, newest, [key], "left")
+    return found.where(F.col("_newest").isNull() | (F.col(ts) > F.col("_newest"))).drop("_newest")
 
 
 def pair_components(

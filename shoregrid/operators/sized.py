@@ -85,6 +85,7 @@ def join_dimension(
     residual: Column | None = None,
     growth: int = 1,
     even: bool = False,
+    null_safe: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi join of a large with a usually smaller side; `how` is inner, left, left_semi or left_anti.
@@ -92,6 +93,7 @@ def join_dimension(
     `residual` is a further condition over columns of both sides, whose other names must differ.
     `even=True` says that keys hardly repeat in `fact` or that it is costly to compute: it is then
     not counted beforehand, and partitions that turn out large are split by the adaptive skew join.
+    `null_safe=True` lets a missing key equal a missing key; it needs `even`.
     """
     fact_cols = fact.columns
     if fits_broadcast(dim, growth):
@@ -127,9 +129,8 @@ def join_dimension(
         keys = [*on, "_salt"]
         wrap = lambda d: d
     renamed = right.withColumnsRenamed({k: f"_dim_{k}" for k in keys})
-    condition = functools.reduce(
-        operator.and_, [F.col(k) == F.col(f"_dim_{k}") for k in keys]
-    )
+    equal = Column.eqNullSafe if null_safe else Column.__eq__
+    condition = functools.reduce(operator.and_, [equal(F.col(k), F.col(f"_dim_{k}")) for k in keys])
     if residual is not None:
         condition = condition & residual
     joined = left.join(wrap(renamed), condition, how)

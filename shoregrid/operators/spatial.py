@@ -105,8 +105,8 @@ def dissolve(cells: DataFrame) -> DataFrame:
 
 
 def lattice(spark: SparkSession, step: float = WIND_STEP_DEG) -> DataFrame:
-    """All points of a regular lon/lat lattice, both edges included, from one range of numbers."""
-    across, up = round(360 / step) + 1, round(180 / step) + 1
+    """All points of a regular lon/lat lattice, each once: both poles, and the dateline as -180."""
+    across, up = round(360 / step), round(180 / step) + 1
     n = F.col("id")
     lon = F.pmod(n, F.lit(across)) * F.lit(step) - 180.0
     lat = F.floor(n / F.lit(across)) * F.lit(step) - 90.0
@@ -122,11 +122,14 @@ def clip_to_cells(points: DataFrame, mask: DataFrame, lon: str = "lon", lat: str
 def nearest_grid(
     points: DataFrame, gridded: DataFrame, step: float, lon: str = "lon", lat: str = "lat"
 ) -> DataFrame:
-    """Grid rows (grid_lon, grid_lat, ...) joined to the points they are nearest to."""
+    """Grid rows (grid_lon, grid_lat, ...) joined to the points they are nearest to, across the dateline too."""
 
     def axis(value: Column) -> Column:
         return F.floor(value / step + 0.5).cast("long")
 
-    keyed = gridded.withColumns({"_gx": axis(F.col("grid_lon")), "_gy": axis(F.col("grid_lat"))})
-    wanted = points.withColumns({"_gx": axis(F.col(lon)), "_gy": axis(F.col(lat))})
+    def around(value: Column) -> Column:
+        return F.pmod(axis(value), F.lit(round(360 / step)))
+
+    keyed = gridded.withColumns({"_gx": around(F.col("grid_lon")), "_gy": axis(F.col("grid_lat"))})
+    wanted = points.withColumns({"_gx": around(F.col(lon)), "_gy": axis(F.col(lat))})
     return join_dimension(keyed, wanted, ["_gx", "_gy"]).drop("_gx", "_gy")

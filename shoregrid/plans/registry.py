@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoregrid.plans import gold, silver
-from shoregrid.sinks.tables import append_new
+from shoregrid.sinks.tables import replace_partitions
 
 
 @dataclass(frozen=True)
@@ -24,20 +24,32 @@ class Lake:
         return f"{self.base.rstrip('/')}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table without its partition column."""
+        return self.spark.read.parquet(self.path(name)).drop(DAY)
 
 
 @dataclass(frozen=True)
 class Model:
+    """How to build a table; with keys it can be built for a time range, from inputs `halo` beyond both ends.
+
+    Hourly models take each reading to its nearest hour, so they need half an hour more of readings.
+    """
+
     build: Callable[[Lake, object, object], DataFrame]
     keys: tuple[str, ...] = ()
     ts: str = "timestamp_tz"
+    halo: str = "INTERVAL '0' MINUTE"
 
     @property
     def incremental(self) -> bool:
         return bool(self.keys)
 
 
+HALF_HOUR = "INTERVAL '30' MINUTE"
+DAY = "_day"
+"""Partition column of the tables that are refreshed by time range."""
+
+
 def _copy(source: str, lake: Lake, start, end) -> DataFrame:
     return lake.table(source)
 
@@ -87,24 +99,39 @@ MODELS: dict[str, Model] = {
     "buoy_measurements": Model(_buoy_measurements, ("station_id", "timestamp_tz", "station_sk")),
     "tide_measurements": Model(_tide_measurements, ("station_id", "timestamp_tz")),
     "wind": Model(_wind, ("cell", "timestamp_tz")),
-    "tide_idw": Model(_tide_idw, ("cell", "timestamp_tz")),
-    "buoy_idw": Model(_buoy_idw, ("cell", "timestamp_tz")),
+    "tide_idw": Model(_tide_idw, ("cell", "timestamp_tz"), halo=HALF_HOUR),
+    "buoy_idw": Model(_buoy_idw, ("cell", "timestamp_tz"), halo=HALF_HOUR),
     "tags": Model(_tags, ("cell", "timestamp_tz")),
 }
 """In an order in which every model comes after the ones it reads."""
 
 
 def refresh_full(lake: Lake, name: str) -> None:
-    """Rebuild a whole table."""
-    MODELS[name].build(lake, None, None).write.mode("overwrite").parquet(lake.path(name))
+    """Rebuild a whole table; one that can be refreshed by range is laid out by day, sorted by its keys."""
+    model = MODELS[name]
+    rows = model.build(lake, None, None)
+    if model.incremental:
+        replace_partitions(rows.withColumn(DAY, F.to_date(model.ts)), lake.path(name), [DAY], list(model.keys), False)
+    else:
+        rows.write.mode("overwrite").parquet(lake.path(name))
 
 
 def refresh_interval(lake: Lake, name: str, start, end) -> None:
-    """Build one time range and append what is not there yet; running it again adds nothing."""
+    """Build the days from that of `start` up to that of `end` (left out if `end` is midnight) and replace them.
+
+    Whole days are built, from inputs a little beyond both ends, and only rows inside are written, so
+    touching ranges fit together, a range can be repeated, and late or corrected
+    readings change what was stored. A day for which nothing is built any more keeps its rows.
+    """
     model = MODELS[name]
-    rows = model.build(lake, start, end)
-    within = F.col(model.ts).between(F.lit(start), F.lit(end))
-    append_new(rows, lake.path(name), list(model.keys), within)
+    day = F.expr("INTERVAL '1' DAY")
+    first = F.date_trunc("DAY", F.lit(start))
+    last = F.date_trunc("DAY", F.lit(end))
+    last = F.when(last == F.lit(end), last).otherwise(last + day)
+    halo = F.expr(model.halo)
+    rows = model.build(lake, first - halo, last + halo)
+    rows = rows.where((F.col(model.ts) >= first) & (F.col(model.ts) < last))
+    replace_partitions(rows.withColumn(DAY, F.to_date(model.ts)), lake.path(name), [DAY], list(model.keys))
 
 
 def refresh(lake: Lake, names: list[str], ranges: list[tuple]) -> None:

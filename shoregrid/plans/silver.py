@@ -114,10 +114,10 @@ def wind_measurements(bronze: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def stations_of(df: DataFrame) -> DataFrame:
-    """Station dimension in the shape the disk join takes, from (station_id, geometry, cell)."""
+def stations_of(df: DataFrame, station: str = "station_id") -> DataFrame:
+    """Station dimension in the shape the disk join takes, from (station, geometry, cell)."""
     return df.select(
-        "station_id",
+        station,
         F.col("cell").alias("station_cell"),
         F.col("geometry.lon").alias("lon"),
         F.col("geometry.lat").alias("lat"),
@@ -160,18 +160,22 @@ def buoy_idw(
 ) -> DataFrame:
     """Wave, wind and tide channels per cell and hour from the buoys around it.
 
-    `compat=True` counts weights of missing readings and takes the unreadable wind speed 999.9
-    for a value, as the old model did. `circular=True` averages directions on the compass within
+    A reading counts where its station stood when it was taken (its station record). `compat=True`
+    lets readings count at every place that their station had in the range, counts weights of
+    missing readings and takes the unreadable wind speed 999.9 for a value, as the old model did. `circular=True` averages directions on the compass within
     the hour.
     """
     chosen = between(measurements, start, end)
-    near = disk_join(cells, stations_of(chosen), "station_id")
+    station = "station_id" if compat else "_record"
+    if not compat:
+        chosen = chosen.withColumn(station, F.concat_ws("|", "station_id", "station_sk"))
+    near = disk_join(cells, stations_of(chosen, station), station)
     channels = dict(BUOY_CHANNELS)
     if compat:
         channels["wind_speed"] = (MISSING_SPEED,)
     hourly = hourly_mean(
         chosen,
-        ["station_id"],
+        [station],
         "timestamp_tz",
         channels,
         circular=("measured_wave_direction", "wind_direction") if circular else (),
@@ -179,7 +183,7 @@ def buoy_idw(
     return idw(
         near,
         hourly,
-        "station_id",
+        station,
         "timestamp_tz",
         list(channels),
         digits,

@@ -195,11 +195,13 @@ def backfill_batches(spark, sf_dir):
     return made.select("batch", F.array_join(F.col("items.page_id"), ",").alias("items"))
 
 
-@query("SELECT event_id, user_id, ts FROM events ORDER BY user_id, ts, event_id LIMIT 70000")
+@query("""
+SELECT user_id, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id
+""")
 def first_rows(spark, sf_dir):
-    """A row limit after a sort by a unique key."""
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return events.orderBy("user_id", "ts", "event_id").limit(70000)
+    """The first event of each user, of all events: a least row with map-side combine, no sort and no limit."""
+    first = F.min(F.struct("ts", "event_id")).alias("first")
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(first).select("user_id", "first.*")
 
 
 @query("SELECT page_id, url FROM pages WHERE page_id > (SELECT min(page_id) FROM pages)")

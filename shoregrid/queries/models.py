@@ -10,7 +10,7 @@ from shoregrid.functions.moments import truncate
 from shoregrid.functions.numbers import round_half_away
 from shoregrid.operators.search import search_by_media as media_search
 from shoregrid.operators.search import vector_search as search
-from shoregrid.plans import bronze, dimensions, gold, silver
+from shoregrid.plans import bronze, dimensions, gold, registry, silver
 from shoregrid.queries import query
 from shoregrid.queries.inputs import (
     BUOY_SQL,
@@ -212,8 +212,12 @@ def tide_idw(spark, sf_dir):
 
 CHANNELS = list(silver.BUOY_CHANNELS)
 
-BUOY_IDW_SQL = f"""
-buoy_place AS (SELECT DISTINCT station_id, lon, lat, {cell_sql("lon", "lat")} AS station_cell FROM measured),
+def buoy_idw_sql(digits: int, by_record: bool = True) -> str:
+    """Hours per cell; by station record (where a reading was taken) or by station alone."""
+    measured = "(SELECT * REPLACE (station_id || '|' || station_sk AS station_id) FROM measured)"
+    measured = measured if by_record else "measured"
+    return f"""
+buoy_place AS (SELECT DISTINCT station_id, lon, lat, {cell_sql("lon", "lat")} AS station_cell FROM {measured}),
 buoy_near AS (
     SELECT cell, station_id, dist, CASE WHEN dist <> 0 THEN 1e0 / (dist * dist) END AS weight FROM (
         SELECT w.cell, s.station_id,
@@ -229,14 +233,17 @@ buoy_hour AS (
            avg(CASE WHEN wind_speed NOT IN (99e0, 999.9e0) THEN wind_speed END) AS wind_speed,
            avg(CASE WHEN wind_speed <> 99e0 THEN wind_speed END) AS old_wind_speed,
            avg(nullif(tide, 99)) AS tide
-    FROM measured GROUP BY 1, 2
+    FROM {measured} GROUP BY 1, 2
     HAVING avg(nullif(wave_height, 99)) IS NOT NULL AND avg(nullif(measured_wave_direction, 999)) IS NOT NULL),
 buoy_idw AS (
-    SELECT cell, timestamp_tz, {", ".join(f"{idw_sql(c, 6)} AS idw_{c}" for c in CHANNELS)}
+    SELECT cell, timestamp_tz, {", ".join(f"{idw_sql(c, digits)} AS idw_{c}" for c in CHANNELS)}
     FROM buoy_hour JOIN buoy_near USING (station_id) GROUP BY cell, timestamp_tz)
 """
 
 
+BUOY_IDW_SQL = buoy_idw_sql(6)
+
+
 def _buoy_idw(spark, sf_dir, compat=False):
     rows = silver.buoy_measurements(_bronze(spark, sf_dir), station_records(spark, sf_dir))
     rows = written(rows, "buoy-measurements")
@@ -254,6 +261,27 @@ def buoy_idw(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH {STATION_SQL}, {BUOY_SQL}, {buoy_idw_sql(2)}
+SELECT cell, timestamp_tz AS hour, {", ".join(f"idw_{c}" for c in CHANNELS)} FROM buoy_idw
+""")
+def refreshed_buoy_hours(spark, sf_dir):
+    """Buoy hours refreshed by touching ranges, then again when late readings are in: as if built at once."""
+    lake = registry.Lake(spark, work_path(spark, "buoy-lake"))
+    station_cells(spark, sf_dir).write.parquet(lake.path("coast_cells"))
+    rows = silver.buoy_measurements(_bronze(spark, sf_dir), station_records(spark, sf_dir))
+    late = F.minute("timestamp_tz") % 4 == 0
+    day = lambda d: F.to_timestamp(F.lit(d))
+    ranges = [(day("2024-01-01"), day("2024-01-12")), (day("2024-01-12"), day("2024-02-02"))]
+    rows.where(~late).write.parquet(lake.path("buoy_measurements"))
+    registry.refresh(lake, ["buoy_idw"], [*ranges, ranges[0]])
+    rows.where(late).write.mode("append").parquet(lake.path("buoy_measurements"))
+    registry.refresh(lake, ["buoy_idw"], ranges)
+    return lake.table("buoy_idw").select(
+        "cell", F.col("timestamp_tz").cast(NTZ).alias("hour"), *[f"idw_{c}" for c in CHANNELS]
+    )
+
+
 def _old_idw_sql(c: str) -> str:
     v = "old_wind_speed" if c == "wind_speed" else c
     return (
@@ -262,7 +290,7 @@ def _old_idw_sql(c: str) -> str:
 
 
 @query(f"""
-WITH {STATION_SQL}, {BUOY_SQL}, {BUOY_IDW_SQL}
+WITH {STATION_SQL}, {BUOY_SQL}, {buoy_idw_sql(6, False)}
 SELECT cell, timestamp_tz AS hour, {", ".join(f"{_old_idw_sql(c)} AS idw_{c}" for c in CHANNELS)}
 FROM buoy_hour JOIN buoy_near USING (station_id) GROUP BY cell, timestamp_tz
 """)

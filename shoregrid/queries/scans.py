@@ -291,6 +291,17 @@ def append_unseen(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "load")
 
 
+@query("SELECT nullif(user_id % 5, 0) AS station, event_type, min(event_id) AS event_id FROM events GROUP BY 1, 2")
+def append_null_keys(spark, sf_dir):
+    """Loads whose key has missing values, repeated: a missing station equals a missing one."""
+    station = F.when(F.col("user_id") % 5 > 0, (F.col("user_id") % 5).cast("long")).alias("station")
+    rows = table(spark, sf_dir, "events").groupBy(station, "event_type").agg(F.min("event_id").alias("event_id"))
+    path = work_path(spark, "null-keys")
+    for _ in range(2):
+        tables.append_new(rows, path, ["station", "event_type"])
+    return spark.read.parquet(path)
+
+
 @query("""
 SELECT doc_id, n, CASE WHEN n > 1 THEN 'repeat' ELSE 'single' END AS kind
 FROM (SELECT doc_id, CAST(2 AS BIGINT) AS n FROM documents)

@@ -78,6 +78,15 @@ def append_new(
     writer.parquet(path)
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partitions: list[str], sort: list[str], only_present: bool = True
+) -> None:
+    """Write rows by partition value, sorted; replaces the partitions that the rows have, or the whole table."""
+    balanced = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *sort)
+    mode = "dynamic" if only_present else "static"
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partitions).parquet(path)
+
+
 def export_snapshot(df: DataFrame, base: str, name: str, now: datetime | None = None) -> str:
     """Full copy to a location stamped with the UTC time; returns it."""
     stamp = (now or datetime.now(UTC)).strftime("%Y%m%dT%H%M%S.%fZ")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoregrid.functions import grid
+from shoregrid.operators import joins
 from shoregrid.plans import archives, bronze, dimensions, gold, inventory, media, registry, silver
 from shoregrid.sinks import tables
 from shoregrid.sources import documents, files, gridded
@@ -232,6 +233,59 @@ def test_lake_refresh_is_rerunnable(spark, tmp_path, buoy_files):
     assert counts["buoy_measurements"] == 4 and counts["buoy_idw"] >= 2
 
 
+def test_hours_at_range_edges_are_whole_and_rerunnable(spark, tmp_path):
+    """23:45 and 00:15 belong to one hour, whichever of two touching ranges is refreshed, and however often."""
+    lake = registry.Lake(spark, str(tmp_path / "lake"))
+    spark.createDataFrame([(222 * 720 + 44,)], "cell long").write.parquet(lake.path("coast_cells"))
+    place = "named_struct('lon', -157.75D, 'lat', 21.25D)"
+
+    def reading(at, height):
+        columns = {"wave_height": height, "average_wave_period": 5.0, "measured_wave_direction": 90.0, "wind_direction": 10.0, "wind_speed": 3.0, "tide": 1.0}
+        parts = [f"CAST({v} AS DOUBLE) AS {k}" for k, v in columns.items()]
+        return spark.range(1).selectExpr(
+            "'s' AS station_id", f"TIMESTAMP '{at}' AS timestamp_tz", "1 AS station_sk", f"{place} AS geometry",
+            f"{222 * 720 + 44}L AS cell", *parts,
+        )
+
+    def heights():
+        rows = ntz(lake.table("buoy_idw"), "timestamp_tz").collect()
+        return sorted((r.timestamp_tz, r.idw_wave_height) for r in rows)
+
+    reading("2024-03-01 23:45:00", 1.0).unionByName(reading("2024-03-02 00:15:00", 3.0)).write.parquet(lake.path("buoy_measurements"))
+    days = [(utc(2024, 3, 1), utc(2024, 3, 2)), (utc(2024, 3, 2), utc(2024, 3, 3))]
+    registry.refresh(lake, ["buoy_idw"], [*days, days[0]])
+    assert heights() == [(T(2024, 3, 2), 2.0)]
+    reading("2024-03-02 00:20:00", 5.0).write.mode("append").parquet(lake.path("buoy_measurements"))
+    registry.refresh(lake, ["buoy_idw"], [days[1]])
+    assert heights() == [(T(2024, 3, 2), 3.0)]
+    registry.refresh_full(lake, "buoy_idw")
+    assert heights() == [(T(2024, 3, 2), 3.0)]
+
+
+def test_history_join_of_long_and_open_rows(spark):
+    """One key with thousands of short rows, one with overlapping open ones."""
+    short = [("a", i * 10, i * 10 + 9, i) for i in range(3000)]
+    held = [("b", i, None, i) for i in range(50)] + [("c", 5, 5, 1), ("c", 5, None, 2)]
+    seconds = lambda c: F.timestamp_seconds(c)
+    history = spark.createDataFrame(short + held, "k string, s long, e long, n long").select(
+        "k", seconds("s").alias("start_time"), seconds("e").alias("end_time"), "n"
+    )
+    facts = spark.createDataFrame(
+        [("a", 15), ("a", 29_995), ("a", 99_999), ("b", 30), ("b", 10_000), ("c", 5), ("d", 1)], "k string, at long"
+    ).select("k", "at", seconds("at").alias("ts"))
+    got = joins.scd_join(facts, history, "k", "ts").groupBy("k", "at").agg(F.count("n").alias("rows")).collect()
+    assert {(r.k, r["at"]): r.rows for r in got} == {("a", 15): 1, ("a", 29_995): 1, ("b", 30): 31, ("b", 10_000): 50, ("c", 5): 2}
+
+
+def test_points_at_the_dateline_find_their_grid_point(spark):
+    from shoregrid.operators import spatial
+
+    grid_rows = spatial.lattice(spark, 0.25).select(F.col("lon").alias("grid_lon"), F.col("lat").alias("grid_lat"))
+    assert grid_rows.count() == grid_rows.distinct().count() == 1440 * 721
+    points = spark.createDataFrame([(179.95, 0.0), (-179.95, 0.0)], "lon double, lat double")
+    assert [r.grid_lon for r in spatial.nearest_grid(points, grid_rows, 0.25).collect()] == [-180.0, -180.0]
+
+
 def test_partitioned_append_and_pruning(spark, tmp_path):
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("part"))
     for _ in range(2):

@@ -14,7 +14,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, con, name):
     problem = difference(spark, con, name, SF_DIR)
-    assert problem in (None, "both empty")
+    assert problem is None or (problem, name) == ("both empty", "without_orders")  # all customers have orders here
 
 
 @pytest.mark.parametrize(
@@ -26,7 +26,7 @@ def test_query_matches_sql(spark, con, name):
         "nearest_in_time",
         "search_by_media",
         "pending_files",
-        "without_orders",
+        "without_events",
         "append_unseen",
         "newer_than_archive",
         "disk_join",
@@ -36,7 +36,7 @@ def test_query_matches_sql(spark, con, name):
     ],
 )
 def test_same_result_without_broadcast(spark, con, no_broadcast, name):
-    assert difference(spark, con, name, SF_DIR) in (None, "both empty")
+    assert difference(spark, con, name, SF_DIR) is None
 
 
 def test_every_query_has_sql_and_entry_runs(spark):
