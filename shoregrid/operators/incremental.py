@@ -51,8 +51,9 @@ def in_manifest(df: DataFrame, manifest: DataFrame, keys: list[str]) -> DataFram
 
 
 def work_buckets(df: DataFrame, key: str, n: int = WORK_BUCKETS) -> DataFrame:
-    """Spread work over n buckets, the same way on every run."""
-    return df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(n)).cast("int"))
+    """Spread work over n buckets by the first half of the key's MD5, the same way on every run and engine."""
+    number = F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.withColumn("bucket", F.pmod(number, F.lit(n)).cast("int"))
 
 
 def yearly_intervals(ranges: DataFrame, start: str, end: str) -> DataFrame:

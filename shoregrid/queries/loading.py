@@ -203,11 +203,10 @@ def pending_by_month(spark, sf_dir):
     ).select("event_id", "event_type")
 
 
-@query("SELECT page_id, url, true AS placed FROM pages")
+@query("SELECT page_id, url, CAST(CAST('0x' || md5(url)[:8] AS BIGINT) % 40 AS INTEGER) AS bucket FROM pages")
 def work_buckets(spark, sf_dir):
-    """Work spread over 40 buckets by hash; which bucket is free, that there is one is not."""
-    spread = incremental.work_buckets(table(spark, sf_dir, "pages").select("page_id", "url"), "url")
-    return spread.select("page_id", "url", F.col("bucket").between(0, 39).alias("placed"))
+    """Work spread over 40 buckets by hash."""
+    return incremental.work_buckets(table(spark, sf_dir, "pages").select("page_id", "url"), "url")
 
 
 @query("""

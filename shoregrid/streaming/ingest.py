@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shoregrid.fixed_values import LATEST_LOOKBACK_STEPS, REALTIME_DAYS
 from shoregrid.functions import moments, text
 from shoregrid.operators.joins import newer_than
+from shoregrid.operators.sized import written
 from shoregrid.sinks.tables import append_new
 
 LOOKBACK = f"{LATEST_LOOKBACK_STEPS * 5} minutes"
@@ -49,16 +50,23 @@ def within_lookback(stream: DataFrame, keys: list[str], ts: str) -> DataFrame:
     return stream.withWatermark(ts, LOOKBACK).dropDuplicatesWithinWatermark(keys)
 
 
+def _span(batch: DataFrame, ts: str) -> Column:
+    """Stored rows that can equal a row of the batch: those of its time span, and those without a time."""
+    least, most = (batch.agg(f(ts)).scalar() for f in (F.min, F.max))
+    return F.col(ts).between(least, most) | F.col(ts).isNull()
+
+
 def ingest_new(
-    stream: DataFrame, target: str, keys: list[str], checkpoint: str, **trigger
+    stream: DataFrame, target: str, keys: list[str], checkpoint: str, ts: str | None = None, **trigger
 ) -> StreamingQuery:
     """Append observations not stored yet, however late they repeat.
 
     Each batch is compared with the stored keys, so replaying a batch after a failure adds nothing.
+    If one of the keys is the time `ts`, only stored rows of the batch's time span are compared.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        append_new(batch.distinct(), target, keys)
+        append_new(batch.distinct(), target, keys, _span(batch, ts) if ts else None)
 
     return _start(stream, load, checkpoint, trigger)
 
@@ -72,10 +80,15 @@ def ingest_newer(
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
-    """Append observations later than the archive's newest one of their station."""
+    """Append observations later than the archive's newest one of their station.
+
+    The archive's newest times are worked out once, before the first batch; a batch is compared with
+    the stored rows of its own time span.
+    """
+    newest = written(archive.groupBy(key).agg(F.max(ts).alias(ts)), "newest")
 
     def load(batch: DataFrame, _: int) -> None:
-        append_new(newer_than(batch, archive, key, ts).distinct(), target, batch.columns)
+        append_new(newer_than(batch, newest, key, ts).distinct(), target, batch.columns, _span(batch, ts))
 
     return _start(stream, load, checkpoint, trigger)
 
