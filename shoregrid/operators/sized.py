@@ -1,8 +1,8 @@
 """Joins that stay fast whether the smaller side fits in memory or not, and whether keys are even or not.
 
 `join_dimension` broadcasts its second input only when the planner's size estimate is below the
-session's broadcast limit. Beyond it, rows of keys with a million rows or more are spread over many
-tasks (the matching dimension rows are repeated once per spread value, all others are not), so one
+session's broadcast limit. Beyond it, rows of keys with a million rows or more are spread over one
+task per million rows (the matching dimension rows are repeated as often, all others are not), so one
 key holding a third of the fact rows does not end in one task. The table of such keys has at most
 one row per million fact rows, which is what makes it safe to broadcast.
 """
@@ -63,18 +63,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame:
-    """Keys of at least `rows` rows, found in one pass over the key columns with map-side counts."""
+    """Keys of at least `rows` rows with `_ways`, the tasks that they are worth (one for each so many rows).
+
+    Found in one pass over the key columns with map-side counts.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") >= rows).select(*keys)
+    ways = (F.ceil(F.col("_rows") / rows) + 1).cast("int").alias("_ways")
+    return counts.where(F.col("_rows") >= rows).select(*keys, ways)
 
 
-def spread(df: DataFrame, ways: int) -> Column:
+def spread(df: DataFrame, ways: Column) -> Column:
     """Spread value per row: by content, and by input partition so that copies part as well.
 
     It does not depend on row order, so a task that is run again assigns the same values.
     """
     content = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")])
-    return F.pmod(content + F.spark_partition_id(), F.lit(ways)).cast("int")
+    return F.pmod(content + F.spark_partition_id(), ways).cast("int")
 
 
 def join_dimension(
@@ -104,27 +108,29 @@ def join_dimension(
         wrap = lambda d: d
     else:
         ways = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-        hot = F.broadcast(hot_keys(fact, on, hot_rows).withColumn("_hot", F.lit(True)))
+        hot = F.broadcast(hot_keys(fact, on, hot_rows))
         lost = functools.reduce(operator.or_, [F.col(k).isNull() for k in on])
         left = (
             fact.join(hot, on, "left")
             .withColumn(
                 "_salt",
-                F.when(F.col("_hot") | lost, spread(fact, ways)).otherwise(F.lit(0)),
+                F.when(F.col("_ways").isNotNull() | lost, spread(fact, F.coalesce("_ways", F.lit(ways)))).otherwise(
+                    F.lit(0)
+                ),
             )
-            .drop("_hot")
+            .drop("_ways")
         )
         right = (
             dim.join(hot, on, "left")
             .withColumn(
                 "_salt",
                 F.explode(
-                    F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(
+                    F.when(F.col("_ways").isNotNull(), F.sequence(F.lit(0), F.col("_ways") - 1)).otherwise(
                         F.array(F.lit(0))
                     )
                 ),
             )
-            .drop("_hot")
+            .drop("_ways")
         )
         keys = [*on, "_salt"]
         wrap = lambda d: d
