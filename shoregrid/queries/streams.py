@@ -78,3 +78,21 @@ def hourly_stream(spark, sf_dir):
         F.col("hour").cast("timestamp_ntz").alias("hour"),
         round_half_away(F.col("value"), 6).alias("value"),
     )
+
+
+@query(f"SELECT user_id, {HOUR_SQL} AS hour, round(avg(value), 6) AS value FROM events GROUP BY 1, 2")
+def late_hours_stream(spark, sf_dir):
+    """The same from several files whose readings lie days apart in no order, one micro-batch each."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    source, store, target = (work_path(spark, name) for name in ("files", "readings", "late-hours"))
+    events.repartition(4, F.pmod(F.col("event_id"), F.lit(4))).write.parquet(source)
+    stream = ingest.file_stream(spark, source, events.schema, maxFilesPerTrigger="1")
+    ingest.recompute_hours(
+        stream, store, target, "user_id", "ts", ["value"], work_path(spark, "checkpoint")
+    ).awaitTermination()
+    newest = ingest.latest_versions(spark.read.parquet(target), ["user_id", "hour"])
+    return newest.select(
+        "user_id",
+        F.col("hour").cast("timestamp_ntz").alias("hour"),
+        round_half_away(F.col("value"), 6).alias("value"),
+    )

@@ -94,7 +94,10 @@ def ingest_newer(
 
 
 def hourly_means(stream: DataFrame, station: str, ts: str, channels: list[str]) -> DataFrame:
-    """Running means around each full hour; the watermark sits on the shifted time itself."""
+    """Running means around each full hour; the watermark sits on the shifted time itself.
+
+    Readings later than LOOKBACK do not count here; `recompute_hours` takes them too.
+    """
     shifted = stream.withColumn("_t", F.col(ts).cast("timestamp") + F.expr(moments.HALF_HOUR))
     return (
         shifted.withWatermark("_t", LOOKBACK)
@@ -113,6 +116,33 @@ def upsert_versions(stream: DataFrame, target: str, checkpoint: str, **trigger)
     return _start(stream, load, checkpoint, trigger, mode="update")
 
 
+def recompute_hours(
+    stream: DataFrame, store: str, target: str, station: str, ts: str, channels: list[str], checkpoint: str, **trigger
+) -> StreamingQuery:
+    """Means around each full hour over all stored readings, however late a reading comes.
+
+    Each batch is stored first (repeats left out), then the hours that it touches are computed anew from
+    the stored readings of its time span and half an hour around, and written as one version folder. No
+    watermark drops rows; a replayed batch writes the same again.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.distinct()
+        append_new(rows, store, batch.columns, _span(batch, ts))
+        zoneless = dict(batch.dtypes)[ts] == "timestamp_ntz"
+        hour = moments.nearest_hour(F.col(ts), zoneless).alias("hour")
+        half = F.expr(moments.HALF_HOUR)
+        least, most = (batch.agg(f(ts)).scalar() for f in (F.min, F.max))
+        near = F.col(ts).between(least - half, most + half)
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(store).where(near)
+        means = stored.groupBy(station, hour).agg(*[F.avg(c).alias(c) for c in channels])
+        touched = rows.select(station, hour).distinct()
+        found = means.join(touched, [station, "hour"], "left_semi")
+        found.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return _start(stream, load, checkpoint, trigger)
+
+
 def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
     """The newest version of each key."""
     rest = [c for c in versions.columns if c not in (*keys, "batch")]
