@@ -169,5 +169,6 @@ def representatives(docs: DataFrame) -> DataFrame:
     ids = marked.select("_fp", "_row", F.col("row.doc_id").alias("doc_id")).join(roots(marked), "_fp")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
     kept = ids.groupBy("_root").agg(F.min(order).alias("first")).select(F.col("first._row").alias("_row"))
-    kept = written(kept, "kept")
-    return marked.join(kept, "_row", "left_semi").select("row.*")
+    # the dropped rows are the smaller side of the last join, the only one that meets the texts
+    dropped = written(marked.select("_row").join(written(kept, "kept"), "_row", "left_anti"), "dropped")
+    return marked.join(dropped, "_row", "left_anti").select("row.*")
