@@ -9,23 +9,27 @@ and a tokenizer needs over a microsecond a byte. What cannot be cut so simply
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 from collections.abc import Callable
 
 import numpy as np
 
-CACHED_PIECES = 600_000
+CACHED_PIECES = 1_200_000
 """Pieces that a Python worker remembers; when there are more it starts afresh."""
 
+_SPACES = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
+_MARKS = frozenset(".,;:!?")
+_DOTTED = "\u0130"  # its lower case ends with a combining dot
 _CAREFUL = re.compile(r"(?<!^)(?= \S)")
 
 
 class Encoder:
     """`encode` gives the ids of texts as little-endian unsigned 32-bit numbers.
 
-    `whole` encodes a list of texts; `drops_spaces` is for tokenizers that ignore white space other
-    than as a separator. The others must be byte-level with the usual pattern, in which one space
+    `whole` encodes a list of texts; `drops_spaces` is for tokenizers that lower-case and ignore white
+    space other than as a separator. The others must be byte-level with the usual pattern, in which one space
     belongs to the word that follows.
     """
 
@@ -33,16 +37,29 @@ class Encoder:
         self.whole = whole
         self.drops_spaces = drops_spaces
         self.cache: dict[str, bytes | None] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self.cache))
-        if self.drops_spaces:
-            self.cache.update(zip(new, self.whole(new)))
-            return
-        odd = [p for p in new if not p or p.isspace() or (p[1] if p[0] == "\n" else p[0]).isspace()]
-        self.cache.update(dict.fromkeys(odd))
-        new = list(set(new).difference(odd))
-        self.cache.update(zip(new, self.whole([p if p[0] == "\n" else " " + p for p in new])))
+        cache = self.cache
+        new = pieces.difference(cache)
+        if not self.drops_spaces:
+            odd = [p for p in new if not p or p[0] in _SPACES and (p[0] != "\n" or p == "\n" or p[1] in _SPACES)]
+            cache.update(dict.fromkeys(odd))
+            new.difference_update(odd)
+        # capitals of ASCII pieces do not matter where the tokenizer lower-cases anyway
+        lowered = [p for p in new if p.isascii() and not p.islower() and p != p.lower()] if self.drops_spaces else []
+        new.difference_update(lowered)
+        new.update({p.lower() for p in lowered}.difference(cache))
+        # a mark after a Latin letter or digit is a pre-token of its own, so the word before it is what must be known
+        marked = [p for p in new if p[-1:] in _MARKS and p[-2:-1].isalnum() and p[-2] < "\u0180" and p[-2] != _DOTTED]
+        new.difference_update(marked)
+        new.update({p[:-1] for p in marked}.difference(cache))
+        known = list(new)
+        cache.update(zip(known, self.whole(known if self.drops_spaces else [p if p[0] == "\n" else " " + p for p in known])))
+        for mark in {p[-1] for p in marked}.difference(self.marks):
+            self.marks[mark] = self.whole([mark])[0]
+        cache.update([(p, cache[p[:-1]] + self.marks[p[-1]]) for p in marked])
+        cache.update([(p, cache[p.lower()]) for p in lowered])
 
     def _careful(self, text: str) -> bytes:
         first, *rest = _CAREFUL.split(text)
@@ -81,7 +98,9 @@ def encoder(path: str, drops_spaces: bool) -> Encoder:
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def whole(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
+        ends = np.cumsum([4 * len(x) for x in found]).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     return Encoder(whole, drops_spaces)
