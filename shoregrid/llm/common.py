@@ -33,6 +33,11 @@ def ready(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished steps now, not when the driver's memory is full."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
