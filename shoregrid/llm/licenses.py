@@ -1,8 +1,9 @@
 """Licence notices in documents: fixed phrases, and an exact set-similarity join with licence templates.
 
-A block is a line of a text, as a set of words; it matches a template if it holds at least THRESHOLD
-of the template's words. Words are ordered by how many blocks of the whole corpus hold
-them, rarest first. To match, a block must hold one of the first words of a template (prefix filter), it
+A block is a line of a text, a paragraph (a run of lines with words; marks of comments are no words), or a window
+of lines with words that is just long enough for a template that starts in its first line, however it is wrapped.
+As a set of words, it matches a template if it holds at least THRESHOLD of the template's words.
+Words are ordered by how many lines of the whole corpus hold them, rarest first. To match, a block must hold one of the first words of a template (prefix filter), it
 must be large enough (length filter), and what can still match after the first common word must reach
 the threshold (positional filter); the survivors are counted in full. Nothing that matches is lost.
 
@@ -13,7 +14,7 @@ the texts; templates are a fixed list, so their index is small enough for every
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -93,24 +94,35 @@ def needed(size: int, threshold: float = THRESHOLD) -> int:
     return int(np.ceil(threshold * size - 1e-9))
 
 
-def reduced(text: str, vocabulary: frozenset[bytes]) -> list[tuple[int, int, list[bytes]]]:
-    """(line number, first word number, words that templates have) of every line that has any.
-
-    Lines without such words cannot match and are left out; word numbers count from the text's start.
-    """
+def reduced(text: str, vocabulary: frozenset[bytes]) -> list[tuple[int, int, frozenset[bytes]]]:
+    """(line number, number of words, words that templates have) of every line that has words."""
     data = text.encode().lower()
-    found, first = [], 0
+    found = []
     for k, line in enumerate(data.split(b"\n")):
         here = line.translate(_WORDS).split()
-        held = vocabulary.intersection(here)
-        if held:
-            found.append((k, first, sorted(held)))
-        first += len(here)
+        if here:
+            found.append((k, len(here), vocabulary.intersection(here)))
     return found
 
 
+def paragraphs(numbers: list[int]) -> list[tuple[int, int]]:
+    """First and last place of every run of consecutive line numbers."""
+    ends = [k for k in range(1, len(numbers)) if numbers[k] != numbers[k - 1] + 1]
+    return list(zip([0, *ends], [k - 1 for k in [*ends, len(numbers)]])) if numbers else []
+
+
+def windows(counts: list[int], length: int, held: list[bool]) -> list[tuple[int, int]]:
+    """First and last place of the windows that hold every run of `length` words, by the line in which it starts.
+
+    A window whose first line has no word of the template is left out: the next one has all that it has.
+    """
+    total = np.cumsum(counts)
+    ends = np.minimum(np.searchsorted(total, total + length - 1), len(counts) - 1)
+    return [(k, int(ends[k])) for k in range(len(counts)) if held[k]]
+
+
 def frequencies(docs: DataFrame, vocabulary: frozenset[bytes]) -> DataFrame:
-    """(word, blocks): how many blocks of the corpus hold each word of the templates."""
+    """(word, blocks): how many lines of the corpus hold each word of the templates."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: Counter = Counter()
@@ -129,8 +141,8 @@ def found(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     n_base counts all places of phrases, first_word and last_word are the least and greatest of them (null
     without one). `labels` adds those of matching templates. score is the greatest containment of a template
-    in a block, 1 where a phrase is found. `matches` lists (label, line, containment) of matching
-    blocks. Null and empty texts have no words. Repeated rows and null ids stay. Other columns are not read.
+    in a block, 1 where a phrase is found. `matches` lists (label, first line, containment) of the matching
+    blocks that hold no smaller one of at least the same containment. Null and empty texts have no words. Repeated rows and null ids stay. Other columns are not read.
     """
     ready(docs.sparkSession)
     listed = templates()
@@ -146,7 +158,9 @@ def found(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         for at, token in enumerate(tokens[: len(tokens) - needed(len(tokens), threshold) + 1]):
             index.setdefault(token, []).append((number, at))
 
-    def matches(held: list[bytes]) -> list[tuple[int, float]]:
+    lengths = [len(words(text)) for texts in TEMPLATES.values() for text in texts]
+
+    def matches(held: Iterable[bytes]) -> list[tuple[int, float]]:
         """(template, containment) of every template that a block matches."""
         tokens = sorted(map(place.__getitem__, held))
         seen: set[int] = set()
@@ -166,16 +180,36 @@ def found(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                     out.append((number, shared / size))
         return out
 
+    def in_blocks(lines: list[tuple[int, int, frozenset[bytes]]]) -> list[tuple[str, int, float]]:
+        """(label, first line, containment) of what the blocks of a text match."""
+        # what the whole text does not match, no part of it does
+        wanted = [number for number, _ in matches(frozenset().union(*(held for _, _, held in lines)))]
+        if not wanted:
+            return []
+        numbers, counts, held = [list(x) for x in zip(*lines)]
+        known: dict[tuple[int, int], dict[int, float]] = {}
+        for span in [*((k, k) for k in range(len(lines))), *paragraphs(numbers)]:
+            known.setdefault(span, {number: 0.0 for number in wanted})
+        for number in wanted:
+            bag = listed[number][2]
+            for span in windows(counts, lengths[number], [not bag.isdisjoint(h) for h in held]):
+                known.setdefault(span, {})[number] = 0.0
+        out = []
+        kept: dict[int, list[tuple[int, int, float]]] = {}
+        for (i, j), asked in sorted(known.items(), key=lambda x: (x[0][1] - x[0][0], x[0])):
+            for number, share in matches(frozenset().union(*held[i : j + 1])):
+                smaller = kept.setdefault(number, [])
+                if number in asked and not any(i <= a and b <= j and share <= s for a, b, s in smaller):
+                    smaller.append((i, j, share))
+                    out.append((listed[number][1], numbers[i], share))
+        return out
+
     def run(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             text = text or ""
             n, places, base = phrase_places(text)
-            hits = [
-                (listed[number][1], line, share)
-                for line, _, held in reduced(text, vocabulary)
-                for number, share in matches(held)
-            ]
+            hits = in_blocks(reduced(text, vocabulary))
             labels = base | {label for label, _, _ in hits}
             score = 1.0 if base else max((share for _, _, share in hits), default=0.0)
             rows.append(

@@ -3,6 +3,7 @@
 import html
 import io
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -574,6 +575,20 @@ def test_license_join_is_exact(spark):
     assert licenses.found(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("width", [30, 72])
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "\n"])
+def test_wrapped_notices_match(spark, width, mark):
+    notices = [(label, text) for label, texts in licenses.TEMPLATES.items() for text in texts]
+    made = [textwrap.wrap(f"Some words come first and then {text} and more words follow it.", width) for _, text in notices]
+    rows = [(i, "Title\n\n" + "\n".join(mark + x for x in lines) + "\n\nEnd.") for i, lines in enumerate(made)]
+    rows += [(900, "Permission is hereby granted\n\n" + "free words\n" * 40), (901, None)]
+    got = {r.doc_id: r for r in licenses.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (label, _) in enumerate(notices):
+        assert label in got[i].labels.split(",") and got[i].score == 1
+        assert [m for m in got[i].matches if m.label == label]
+    assert (got[900].labels, got[900].score, got[901].labels) == ("", 0, "")
+
+
 # pipeline
 
 
