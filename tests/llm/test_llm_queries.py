@@ -23,6 +23,7 @@ from shoregrid.llm import (
     licenses,
     lm_score,
     mixing,
+    near_copies,
     neighbours,
     packing,
     quality,
@@ -615,3 +616,56 @@ def test_pipeline_stages_on_edges(spark, edge):
             assert out.count() >= 0
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == edge.columns
+
+
+def five_words(text):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def plain_kept(texts):
+    """The smallest id of each group of texts of five-word Jaccard 0.8 or more, all pairs compared."""
+    bags = {i: five_words(t) for i, t in texts.items()}
+    root = {i: i for i in bags}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in bags:
+        for j in bags:
+            if i < j and 5 * len(bags[i] & bags[j]) >= 4 * len(bags[i] | bags[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return {i for i in root if root[i] == i}
+
+
+def test_near_copies_are_found_whole(spark):
+    rng = np.random.default_rng(3)
+    texts = {}
+    for group in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 400, 150)]
+        for copy in range(8):
+            held = list(base)
+            for at in rng.integers(0, 150, copy):
+                held[at] = f"new{rng.integers(10**6)}"
+            texts[len(texts)] = " ".join(held)
+    texts |= {len(texts) + k: t for k, t in enumerate(["", " ", "two words", "Two  Words", "a b c d e f"])}
+    rows = [(i, t, "x") for i, t in texts.items()]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _class string")
+    got = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, frame, SF_DIR).collect()}
+    assert got == plain_kept(texts)
+    assert len(got) < len({x.text for x in simhash.representatives(frame).collect()})
+
+
+def test_large_group_of_near_copies_makes_few_pairs(spark):
+    base = [f"w{x}" for x in range(200)]
+    texts = [" ".join([*base[:k], f"new{k}", *base[k + 1 :]]) for k in range(150)]
+    marked = near_copies.marked_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    entries = near_copies.shared_entries(marked)
+    sets = near_copies.set_table(marked)
+    links = near_copies.verified(near_copies.star_pairs(near_copies.parted(entries, None), 0), sets, marked)
+    left = near_copies.parted(entries, near_copies.components(links))
+    assert near_copies.all_pairs(left).count() < 150 * 149 / 20
+    assert near_copies.representatives(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == 1
