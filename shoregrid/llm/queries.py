@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoregrid.llm import bpe, html_text, licenses, lm_score, neighbours, packing, quality, simhash, token_files, toxicity
+from shoregrid.llm import (
+    bpe,
+    chat_format,
+    filter_audit,
+    html_text,
+    licenses,
+    lm_score,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    token_files,
+    toxicity,
+)
 from shoregrid.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +112,91 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and templates in every document."""
     return licenses.found(table(spark, sf_dir, "documents"))
+
+
+@_register
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_format.read_back(chat_format.examples(rows))
+
+
+SQL["op12_chat_format"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+    SELECT *,
+        length(regexp_replace(text, '([<\[])(\\*)(/?s>|</?SYS>>|/?INST\]|/?ROLE\])', '\1\\\2\3', 'g'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
+          ELSE 21 + length(regexp_replace(role, '([<\[])(\\*)(/?s>|</?SYS>>|/?INST\]|/?ROLE\])', '\1\\\2\3', 'g'))
+          END AS chars
+    FROM said
+), placed AS (
+    SELECT *, sum(chars) OVER upto AS example_chars, lead(conv_id) OVER w IS NULL AS is_last
+    FROM sized
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text),
+        upto AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(example_chars) FILTER (role = 'assistant' OR is_last) AS BIGINT) AS formatted_chars
+FROM placed
+GROUP BY conv_id
+"""
+
+
+@_register
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes from each source in every order of the five filters."""
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op13_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part,
+        list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), firsts AS (
+    SELECT text, min(doc_id) AS least FROM docs GROUP BY text
+), marks AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+    SELECT part,
+        CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS failed,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM docs JOIN firsts USING (text) LEFT JOIN marks USING (doc_id)
+), counts AS (
+    SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM masks GROUP BY ALL
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), fates AS (
+    SELECT part, filter_order, step, n, good, toxic, failed,
+        contains(failed, filter_order[step]) AS fails,
+        len(list_filter(string_split(filter_order[1:step - 1], ''), lambda f: f <> '' AND contains(failed, f))) > 0 AS gone
+    FROM counts, orders, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step) s
+), summed AS (
+    SELECT part, filter_order, step,
+        CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+        CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (failed = filter_order[step]), 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+    FROM fates GROUP BY ALL
+)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM summed
+"""
