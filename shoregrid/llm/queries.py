@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shoregrid.llm import (
     bpe,
     chat_format,
+    conversation_repair,
     filter_audit,
     html_text,
     licenses,
@@ -114,12 +115,104 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.found(table(spark, sf_dir, "documents"))
 
 
+@_register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the rule, with their faults and their cheapest repair."""
+    conversations = table(spark, sf_dir, "conversations")
+    rows, summary = conversation_repair.repaired(conversation_repair.damaged(conversations))
+    named = lambda df, name: df.withColumnRenamed("conv_id", name)
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    hashes = named(conversation_repair.hashed(rows), "hash_id")
+    found = conversations.select("conv_id").distinct()
+    found = found.join(named(summary, "id"), F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    found = found.join(hashes, F.col("conv_id").eqNullSafe(F.col("hash_id")), "left")
+    return found.select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+SQL["op11_conversation_repair"] = r"""
+WITH RECURSIVE checksums AS (
+    SELECT *, xor(list_reduce(
+        list_concat([4294967295], list_transform(string_split(
+            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda sum, byte: list_reduce(list_concat([xor(sum, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, ignored: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 20 AS damage
+    FROM conversations
+), damaged AS (
+    SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+        CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+    FROM checksums JOIN (VALUES (1), (2)) c(copy) ON copy = 1 OR damage = 3
+    WHERE damage <> 0
+), placed AS (
+    SELECT *, row_number() OVER w AS pos, left(role, 1) AS initial, lag(left(role, 1)) OVER w AS earlier,
+        right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+    FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), judged AS (
+    SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+), inserts(f, t, more, price) AS (
+    VALUES ('', '', '', 0), ('', 'u', 'I', 5), ('', 'a', 'II', 10), ('s', 's', '', 0), ('s', 'u', 'I', 5), ('s', 'a', 'II', 10),
+        ('u', 'u', '', 0), ('u', 'a', 'I', 5), ('a', 'a', '', 0), ('a', 'u', 'I', 5)
+), moves(f, t) AS (
+    VALUES ('', 's'), ('', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')
+), edits AS (
+    SELECT f, t, 'K' AS edit, 0 AS price FROM moves UNION ALL SELECT f, t, 'R', 1 FROM moves WHERE t <> 's'
+    UNION ALL SELECT DISTINCT f, f, 'D', 2 FROM inserts
+), walk AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS pos, '' AS state, {'cost': CAST(0 AS BIGINT), 'audit': ''} AS best FROM damaged
+    UNION ALL
+    SELECT w.conv_id, j.pos, e.t, min({'cost': CAST(w.best.cost + i.price + e.price
+            + CASE WHEN e.edit <> 'D' AND j.fault = 'truncated' THEN 5 ELSE 0 END AS BIGINT), 'audit': w.best.audit || i.more || e.edit})
+    FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.pos = w.pos + 1
+        JOIN inserts i ON i.f = w.state JOIN edits e ON e.f = i.t
+    WHERE e.edit = 'D' OR (j.fault NOT IN ('blank', 'duplicate') AND (e.edit = 'R' OR e.t = j.initial))
+    GROUP BY w.conv_id, j.pos, e.t
+), counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, max(pos) AS n,
+        count(*) FILTER (earlier IS NOT NULL AND earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+), ended AS (
+    SELECT c.*, min({'cost': w.best.cost + i.price, 'audit': w.best.audit || i.more}) AS best
+    FROM counted c JOIN walk w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.pos = c.n JOIN inserts i ON i.f = w.state
+    WHERE i.t IN ('', 'a') GROUP BY ALL
+), letters AS (
+    SELECT conv_id, best.audit AS audit, unnest(string_split(best.audit, '')) AS edit, unnest(range(1, length(best.audit) + 1)) AS i
+    FROM ended
+), steps AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER w AS pos, count(*) FILTER (edit <> 'D') OVER w + length(replace(audit, 'D', '')) AS place
+    FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY i)
+), lines AS (
+    SELECT s.conv_id, i, CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line
+    FROM steps s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.pos = greatest(s.pos, 1)
+    WHERE edit <> 'D'
+), hashes AS (
+    SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY i)) AS repaired_sha256 FROM lines GROUP BY conv_id
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+    coalesce(best.audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+    LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
 @_register
 def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings, formatted and read back."""
     said = "</s>[INST] ok [/INST]"
-    more = spark.createDataFrame(
-        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return chat_format.read_back(chat_format.examples(rows))
@@ -137,7 +230,7 @@ WITH said AS (
           END AS chars
     FROM said
 ), placed AS (
-    SELECT *, sum(chars) OVER upto AS example_chars, lead(conv_id) OVER w IS NULL AS is_last
+    SELECT *, sum(chars) OVER upto AS example_chars, lead(true) OVER w IS NULL AS is_last
     FROM sized
     WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text),
         upto AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS UNBOUNDED PRECEDING)
