@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoregrid.fixed_values import WORK_BUCKETS
 from shoregrid.functions.moments import year_slices
@@ -60,3 +61,17 @@ def yearly_intervals(ranges: DataFrame, start: str, end: str) -> DataFrame:
     """One row per year-long slice of each range."""
     sliced = ranges.withColumn("_slice", F.explode(year_slices(F.col(start), F.col(end))))
     return sliced.select(*ranges.columns, "_slice.slice_start", "_slice.slice_end")
+
+
+def missing_ranges(wanted: DataFrame, held: DataFrame, day: str) -> DataFrame:
+    """(slice_start, slice_end) of the runs of days that are wanted and not held: gaps and islands.
+
+    Ends are the midnight after a run's last day; a run is cut into slices of a year. Both tables hold one row per
+    calendar day, so the numbering window is short however large the tables behind them are.
+    """
+    gaps = wanted.select(day).where(F.col(day).isNotNull()).join(held.select(day), day, "left_anti").distinct()
+    island = F.date_sub(F.col(day), F.row_number().over(Window.orderBy(day)))
+    runs = gaps.withColumn("_island", island).groupBy("_island").agg(
+        F.min(day).cast("timestamp").alias("range_start"), F.date_add(F.max(day), 1).cast("timestamp").alias("range_end")
+    )
+    return yearly_intervals(runs, "range_start", "range_end").select("slice_start", "slice_end")

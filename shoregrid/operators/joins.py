@@ -9,8 +9,53 @@ from pyspark.sql.window import Window
 from shoregrid.functions.moments import micros
 from shoregrid.operators.sized import join_dimension
 
+LEVEL_BITS = 3
+"""Time cells grow by eight times from one level to the next."""
+BEYOND = -1
+"""The level of what is asked for at or after the newest time of a key's history."""
 SCD_GROWTH = 3
-"""How many copies of a history row `scd_join` makes at most, on average over each key."""
+"""How many copies of a history row `scd_join` makes at most."""
+
+
+def _cell(us: Column, level: Column) -> Column:
+    return F.call_function("shiftright", us, level * LEVEL_BITS).cast("long")
+
+
+def _place(level: Column, cell: Column) -> Column:
+    return F.struct(level.cast("int").alias("_level"), cell.alias("_cell"))
+
+
+def filed_by_length(history: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """History rows once for each time cell they lie in, with `_level`, `_cell` and their key's `_newest` time.
+
+    A row is filed on the lowest level whose cells are as long as it is, so it lies in two cells at most. An
+    open row ends, for this, just before the newest time; it is also filed beyond it, as is a row that ends there.
+    """
+    from_us, to_us = micros(F.col(start)), micros(F.col(end))
+    newest = history.groupBy(key).agg(F.max(F.greatest(from_us, F.coalesce(to_us, from_us))).alias("_newest"))
+    last = F.coalesce(to_us, F.col("_newest") - 1)
+    length = last - from_us
+    bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
+    level = F.ceil(bits / LEVEL_BITS).cast("int")
+    none = F.array().cast("array<struct<_level: int, _cell: bigint>>")
+    own = F.when(length >= 0, F.array_distinct(F.array(*[_place(level, _cell(us, level)) for us in (from_us, last)])))
+    reaches = to_us.isNull() | ((to_us == F.col("_newest")) & (length >= 0))
+    beyond = F.when(reaches & from_us.isNotNull(), F.array(_place(F.lit(BEYOND), F.lit(0).cast("long"))))
+    placed = join_dimension(history, newest, [key]).withColumn(
+        "_at", F.explode(F.concat(F.coalesce(own, none), F.coalesce(beyond, none)))
+    )
+    return placed.select(*history.columns, "_newest", "_at.*")
+
+
+def asked_by_level(fact: DataFrame, filed: DataFrame, key: str, ts: str) -> DataFrame:
+    """Fact rows once for each level that their key has, with the cell of their time; beyond its newest time just once."""
+    levels = filed.groupBy(key).agg(F.max("_newest").alias("_newest"), F.collect_set("_level").alias("_levels"))
+    us = micros(F.col(ts))
+    cells = F.transform(F.filter("_levels", lambda n: n != BEYOND), lambda n: _place(n, _cell(us, n)))
+    beyond = F.array(_place(F.lit(BEYOND), F.lit(0).cast("long")))
+    asked = join_dimension(fact, levels, [key])
+    asked = asked.withColumn("_at", F.explode(F.when(us >= F.col("_newest"), beyond).otherwise(cells)))
+    return asked.select(*fact.columns, "_at.*")
 
 
 def scd_join(
@@ -24,47 +69,18 @@ def scd_join(
 ) -> DataFrame:
     """Fact rows with the history rows of their key that hold at their time (both ends included).
 
-    An open end (NULL) holds forever. The time line of every key is cut into slots, and the join is
-    on (key, slot), so a fact never meets the whole history of a long key. A slot is as wide as the
-    key's rows hold on average, and no narrower than its time span divided by its rows: the rows of
-    a key then lie in at most SCD_GROWTH slots each on average, whatever their number and lengths.
+    An open end (NULL) holds forever. History rows are filed in time cells as long as they are, and a fact asks for
+    one cell on each level that its key has (there are at most 21): it meets rows of one cell that are longer than an
+    eighth of it. Where rows of a key do not overlap, that is ten a level at most, however they cluster; where
+    they do, it meets no more than lie in the neighbourhood of its time, of their own length.
     """
-    start_us, end_us = micros(F.col(start)), micros(F.col(end))
-    closed = F.when(end_us.isNotNull(), F.greatest(end_us - start_us, F.lit(0)).cast("double"))
-    opened = F.when(end_us.isNull(), start_us.cast("double"))
-    span = F.col("_to") - F.col("_from")
-    held = F.coalesce("_closed", F.lit(0.0)) + F.col("_n_open") * F.col("_to") - F.coalesce("_opened", F.lit(0.0))
-    slots = (
-        history.groupBy(key)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(start_us).alias("_from"),
-            F.max(F.greatest(start_us, F.coalesce(end_us, start_us))).alias("_to"),
-            F.sum(closed).alias("_closed"),
-            F.count_if(end_us.isNull()).alias("_n_open"),
-            F.sum(opened).alias("_opened"),
-        )
-        .withColumn("_width", F.ceil(F.greatest(span / F.col("_rows"), held / F.col("_rows"), F.lit(1.0))))
-        .withColumn("_last", F.floor(span / F.col("_width")))
-        .select(key, "_from", "_width", "_last")
-    )
-
-    def slot(us: Column) -> Column:
-        raw = F.floor((us - F.col("_from")) / F.col("_width"))
-        return F.least(F.greatest(raw, F.lit(0)), F.col("_last"))
-
-    helpers = ("_from", "_width", "_last")
-    facts = join_dimension(fact, slots, [key]).withColumn("_slot", slot(micros(F.col(ts)))).drop(*helpers)
-    through = F.when(F.col(end).isNull(), F.col("_last")).otherwise(slot(end_us))
-    rows = (
-        join_dimension(history, slots, [key])
-        .withColumn("_slot", F.explode(F.sequence(slot(start_us), F.greatest(slot(start_us), through))))
-        .drop(*helpers)
-    )
+    filed = filed_by_length(history, key, start, end)
+    asked = asked_by_level(fact, filed, key, ts)
     holds = F.col(ts).between(F.col(start), F.coalesce(F.col(end), F.col(ts)))
     if residual is not None:
         holds = holds & residual
-    return join_dimension(facts, rows, [key, "_slot"], residual=holds, growth=SCD_GROWTH).drop("_slot")
+    found = join_dimension(asked, filed.drop("_newest"), [key, "_level", "_cell"], residual=holds, growth=SCD_GROWTH)
+    return found.drop("_level", "_cell")
 
 
 def nearest_in_time(

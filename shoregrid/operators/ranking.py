@@ -6,89 +6,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SLICE_ROWS = 1_000_000
+from shoregrid.operators.sized import written
 
 
-def _sliced(
-    rows: DataFrame, groups: list[str], value: str, name: str, slice_rows: int, within: str | None = None
-) -> DataFrame:
-    """Add a slot number that cuts groups above `slice_rows` into equal ranges of a number column.
+def _parted(df: DataFrame, keys: list[str], order: Column, tie: str) -> DataFrame:
+    """The rows with their order value `_x` and range partition `_part`, written once.
 
-    With `within`, only groups in which that column is constant are cut. The table of such groups
-    has less than one row per `slice_rows` input rows, so it can be broadcast.
+    One range sort by key, order value, tie and content: a group that holds most rows, and many rows of one order
+    value, fall into several partitions. Spark draws the bounds anew whenever it plans, so they are fixed by writing.
     """
-    constant = F.lit(True)
-    if within:
-        filled = F.count(within)
-        constant = (filled == 0) | ((filled == F.count(F.lit(1))) & (F.min(within) == F.max(within)))
-    big = (
-        rows.groupBy(*groups)
-        .agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.min(value).cast("double").alias("_lo"),
-            F.max(value).cast("double").alias("_hi"),
-            constant.alias("_constant"),
-        )
-        .where((F.col("_rows") > slice_rows) & (F.col("_hi") > F.col("_lo")) & F.col("_constant"))
-        .select(*groups, "_lo", "_hi", F.ceil(F.col("_rows") / slice_rows).alias("_parts"))
-    )
-    if groups:
-        joined = rows.join(F.broadcast(big), groups, "left")
-    else:
-        bounds = big.select(F.struct("_lo", "_hi", "_parts").alias("s"))
-        joined = rows.withColumn("_s", bounds.scalar()).select("*", "_s.*").drop("_s")
-    share = (F.col(value).cast("double") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
-    # `least` skips NULLs, so a missing value must be kept out of it to stay in the first slot.
-    slot = F.when(
-        share.isNotNull(), F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
-    )
-    return joined.withColumn(name, F.coalesce(slot, F.lit(0).cast("long"))).drop(
-        "_lo", "_hi", "_parts"
+    content = F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith(("map", "variant"))])
+    rows = df.withColumn("_x", order)
+    parted = rows.repartitionByRange(*keys, F.col("_x").asc_nulls_first(), tie, content)
+    return written(parted.withColumn("_part", F.spark_partition_id()), "parted")
+
+
+def _carried(rows: DataFrame, keys: list[str]) -> Column:
+    """An array by partition: the group that began in an earlier one, and how many of its rows lie there.
+
+    Only the first group of a partition can have begun before it, so there are fewer entries than partitions.
+    """
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    begun = counts.withColumn("_before", F.sum("_rows").over(before)).where("_before IS NOT NULL")
+    entry = F.struct(F.struct(F.lit(0).alias("_"), *keys).alias("group"), F.col("_before").alias("rows"))
+    made = begun.agg(
+        F.map_from_entries(F.collect_list(F.struct("_part", entry.alias("entry")))).alias("of"),
+        F.coalesce(F.max("_part"), F.lit(0)).alias("last"),
     )
+    by_part = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.try_element_at(F.col("of"), i))
+    return made.select(by_part.alias("entries")).scalar()
 
 
-def numbered(
-    df: DataFrame,
-    keys: list[str],
-    order: Column,
-    tie: str,
-    name: str = "position",
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: Column, tie: str, name: str = "position") -> DataFrame:
     """`row_number` per key by a number or time, then by `tie`; NULLs first.
 
-    A group above `slice_rows` (without keys: the whole table) is cut into equal ranges of the
-    order value; ranges that are still too full once more, and then, where they hold a single
-    value, by the tie column. Positions are the rank inside the range plus the rows before it.
+    A position is the rank in the row's range partition plus the rows of its group in earlier ones: a
+    running sum over partitions, not rows. No task sees more of a group than a partition holds.
     """
-    slots = ["_s1", "_s2"]
-    rows = _sliced(df.withColumn("_x", order), keys, "_x", "_s1", slice_rows)
-    rows = _sliced(rows, [*keys, "_s1"], "_x", "_s2", slice_rows)
-    if dict(df.dtypes)[tie] in ("int", "bigint", "double"):
-        rows = _sliced(rows.withColumn("_tie", F.col(tie)), [*keys, *slots], "_tie", "_s3", slice_rows, "_x")
-        slots.append("_s3")
-    before = Window.partitionBy(*keys).orderBy(*slots).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(*keys, *slots)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(before))
-        .where("_before is not null")
-        .drop("_rows")
-    )
-    local = Window.partitionBy(*keys, *slots).orderBy(F.col("_x").asc_nulls_first(), F.col(tie))
-    return (
-        rows.withColumn("_local", F.row_number().over(local))
-        .join(F.broadcast(offsets), [*keys, *slots], "left")
-        .withColumn(name, F.col("_local") + F.coalesce("_before", F.lit(0)))
-        .select(*df.columns, name)
-    )
+    rows = _parted(df, keys, order, tie)
+    local = Window.partitionBy(*keys, "_part").orderBy(F.col("_x").asc_nulls_first(), F.col(tie).asc_nulls_first())
+    carried = F.get(_carried(rows, keys), F.col("_part"))
+    own = F.struct(F.lit(0).alias("_"), *keys)
+    before = F.when(carried["group"].eqNullSafe(own), carried["rows"]).otherwise(0)
+    placed = rows.withColumn("_local", F.row_number().over(local))
+    return placed.withColumn(name, F.col("_local") + before).select(*df.columns, name)
 
 
-def even_split(
-    df: DataFrame, parts: int, order: Column, tie: str, name: str = "tile", slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def even_split(df: DataFrame, parts: int, order: Column, tie: str, name: str = "tile") -> DataFrame:
     """`ntile` over the whole table: consecutive rows, part sizes differing by at most one."""
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    placed = numbered(df, [], order, tie, "_pos")
+    total = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
     pos = F.col("_pos") - 1
     size = F.floor(F.col("_total") / parts)
     longer = F.col("_total") % parts
@@ -97,18 +65,15 @@ def even_split(
         longer + F.floor(F.try_divide(pos - edge, size))
     )
     return (
-        numbered(df, [], order, tie, "_pos", slice_rows)
-        .withColumn("_total", total)
+        placed.withColumn("_total", total)
         .withColumn(name, (tile + 1).cast("int"))
         .select(*df.columns, name)
     )
 
 
-def batches(
-    df: DataFrame, size: int, order: Column, tie: str, columns: list[str], slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def batches(df: DataFrame, size: int, order: Column, tie: str, columns: list[str]) -> DataFrame:
     """Consecutive batches of `size` rows as (batch, items); a list holds at most `size` rows."""
-    placed = numbered(df, [], order, tie, "_pos", slice_rows)
+    placed = numbered(df, [], order, tie, "_pos")
     item = F.struct("_pos", *columns)
     return (
         placed.withColumn("batch", F.floor((F.col("_pos") - 1) / size))
@@ -123,16 +88,9 @@ def batches(
     )
 
 
-def chunked_lists(
-    df: DataFrame,
-    keys: list[str],
-    order: Column,
-    value: str,
-    chunk: int = 1000,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def chunked_lists(df: DataFrame, keys: list[str], order: Column, value: str, chunk: int = 1000) -> DataFrame:
     """Sorted lists of a key's values, at most `chunk` long: (keys, chunk, values), nothing dropped."""
-    placed = numbered(df, keys, order, value, "_pos", slice_rows)
+    placed = numbered(df, keys, order, value, "_pos")
     return (
         placed.withColumn("chunk", F.floor((F.col("_pos") - 1) / chunk))
         .groupBy(*keys, "chunk")

@@ -82,16 +82,19 @@ def hourly_stream(spark, sf_dir):
 
 @query(f"SELECT user_id, {HOUR_SQL} AS hour, round(avg(value), 6) AS value FROM events GROUP BY 1, 2")
 def late_hours_stream(spark, sf_dir):
-    """The same from several files whose readings lie days apart in no order, one micro-batch each."""
+    """The same from files that end inside an hour and come in no order, one micro-batch each, some rows twice."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    source, store, target = (work_path(spark, name) for name in ("files", "readings", "late-hours"))
-    events.repartition(4, F.pmod(F.col("event_id"), F.lit(4))).write.parquet(source)
+    source, store, sums = (work_path(spark, name) for name in ("files", "readings", "hour-sums"))
+    part = F.floor((F.unix_seconds(F.col("ts").cast("timestamp")) - 25 * 60) / F.lit(5 * 86400))
+    dealt = events.withColumn("part", F.pmod(part, F.lit(6)))
+    for i in (3, 1, 5, 0, 4, 2):
+        again = (F.col("part") == (i + 3) % 6) & (F.col("event_id") % 40 == 0)
+        dealt.where((F.col("part") == i) | again).drop("part").coalesce(1).write.mode("append").parquet(source)
     stream = ingest.file_stream(spark, source, events.schema, maxFilesPerTrigger="1")
-    ingest.recompute_hours(
-        stream, store, target, "user_id", "ts", ["value"], work_path(spark, "checkpoint")
+    ingest.accumulate_hours(
+        stream, store, sums, "user_id", "ts", ["value"], work_path(spark, "checkpoint")
     ).awaitTermination()
-    newest = ingest.latest_versions(spark.read.parquet(target), ["user_id", "hour"])
-    return newest.select(
+    return ingest.hour_means(spark, sums, "user_id", ["value"]).select(
         "user_id",
         F.col("hour").cast("timestamp_ntz").alias("hour"),
         round_half_away(F.col("value"), 6).alias("value"),

@@ -93,3 +93,23 @@ def export_snapshot(df: DataFrame, base: str, name: str, now: datetime | None =
     path = f"{base.rstrip('/')}/{name}.{stamp}"
     df.write.mode("errorifexists").parquet(path)
     return path
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it lies in."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path; none if there is no such path."""
+    at, store = _folder(spark, path)
+    if not store.exists(at):
+        return []
+    return sorted(f.getPath().getName() for f in store.listStatus(at) if f.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it; one that is not there is fine."""
+    at, store = _folder(spark, path)
+    store.delete(at, True)

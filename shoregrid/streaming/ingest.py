@@ -8,9 +8,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoregrid.fixed_values import LATEST_LOOKBACK_STEPS, REALTIME_DAYS
 from shoregrid.functions import moments, text
+from shoregrid.operators.incremental import unseen
 from shoregrid.operators.joins import newer_than
-from shoregrid.operators.sized import written
-from shoregrid.sinks.tables import append_new
+from shoregrid.operators.sized import join_dimension, written
+from shoregrid.sinks.tables import append_new, existing, remove_folder, replace_partitions, subfolders
+
+DAY, BATCH = "_day", "_batch"
+"""Partition columns of hourly sums: the day, and the batch that wrote it last."""
 
 LOOKBACK = f"{LATEST_LOOKBACK_STEPS * 5} minutes"
 
@@ -96,7 +100,7 @@ def ingest_newer(
 def hourly_means(stream: DataFrame, station: str, ts: str, channels: list[str]) -> DataFrame:
     """Running means around each full hour; the watermark sits on the shifted time itself.
 
-    Readings later than LOOKBACK do not count here; `recompute_hours` takes them too.
+    Readings later than LOOKBACK do not count here; `accumulate_hours` takes them too.
     """
     shifted = stream.withColumn("_t", F.col(ts).cast("timestamp") + F.expr(moments.HALF_HOUR))
     return (
@@ -116,33 +120,71 @@ def upsert_versions(stream: DataFrame, target: str, checkpoint: str, **trigger)
     return _start(stream, load, checkpoint, trigger, mode="update")
 
 
-def recompute_hours(
-    stream: DataFrame, store: str, target: str, station: str, ts: str, channels: list[str], checkpoint: str, **trigger
+def accumulate_hours(
+    stream: DataFrame, store: str, sums: str, station: str, ts: str, channels: list[str], checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Means around each full hour over all stored readings, however late a reading comes.
+    """Sums and counts around each full hour, however late a reading comes; `hour_means` reads them.
 
-    Each batch is stored first (repeats left out), then the hours that it touches are computed anew from
-    the stored readings of its time span and half an hour around, and written as one version folder. No
-    watermark drops rows; a replayed batch writes the same again.
+    A batch first stores its readings that no earlier batch has, under its own number. Their sums and counts are
+    added to the newest ones of the days they touch, and these days are written whole, again under the
+    batch's number: only sums of touched days are read, never the readings of an hour again. All it reads is what earlier batches
+    wrote, so a replayed batch writes the same once more. Of every day the last two versions are kept, as a
+    replay needs the one before. No watermark drops rows.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         rows = batch.distinct()
-        append_new(rows, store, batch.columns, _span(batch, ts))
-        zoneless = dict(batch.dtypes)[ts] == "timestamp_ntz"
-        hour = moments.nearest_hour(F.col(ts), zoneless).alias("hour")
-        half = F.expr(moments.HALF_HOUR)
-        least, most = (batch.agg(f(ts)).scalar() for f in (F.min, F.max))
-        near = F.col(ts).between(least - half, most + half)
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(store).where(near)
-        means = stored.groupBy(station, hour).agg(*[F.avg(c).alias(c) for c in channels])
-        touched = rows.select(station, hour).distinct()
-        found = means.join(touched, [station, "hour"], "left_semi")
-        found.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        stored = existing(spark, store, rows.withColumn(BATCH, F.lit(0).cast("long")))
+        if stored is not None:
+            earlier = stored.where((F.col(BATCH) < batch_id) & _span(batch, ts))
+            rows = unseen(rows, earlier, rows.columns)
+        path = f"{store}/{BATCH}={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        kept = spark.read.schema(rows.schema).parquet(path)
+
+        hour = moments.nearest_hour(F.col(ts), dict(batch.dtypes)[ts] == "timestamp_ntz").alias("hour")
+        parts = [f(c).alias(f"{name}_{c}") for c in channels for name, f in (("sum", F.sum), ("count", F.count))]
+        added = kept.groupBy(station, hour).agg(*parts).withColumn(DAY, F.to_date("hour"))
+        versions = existing(spark, sums, added.withColumn(BATCH, F.lit(0).cast("long")))
+        merged = added
+        if versions is not None:
+            base = newest_versions(versions.where(F.col(BATCH) < batch_id)).drop(BATCH)
+            touched = join_dimension(base, added.select(DAY).distinct(), [DAY], "left_semi", even=True)
+            total = [F.sum(c).alias(c) for c in added.columns if c not in (station, "hour", DAY)]
+            merged = touched.unionByName(added).groupBy(station, "hour", DAY).agg(*total)
+        replace_partitions(merged, f"{sums}/{BATCH}={batch_id}", [DAY], [station, "hour"], only_present=False)
+        drop_versions(spark, sums)
 
     return _start(stream, load, checkpoint, trigger)
 
 
+def newest_versions(versions: DataFrame) -> DataFrame:
+    """Of each day, the rows that the last batch wrote which touched it."""
+    newest = versions.groupBy(DAY).agg(F.max(BATCH).alias(BATCH))
+    return join_dimension(versions, newest, [DAY, BATCH], "left_semi", even=True)
+
+
+def hour_means(spark: SparkSession, sums: str, station: str, channels: list[str]) -> DataFrame:
+    """The means of what `accumulate_hours` has summed so far."""
+    current = newest_versions(spark.read.parquet(sums))
+    means = [F.try_divide(f"sum_{c}", f"count_{c}").alias(c) for c in channels]
+    return current.select(station, "hour", *means)
+
+
+def drop_versions(spark: SparkSession, sums: str, keep: int = 2) -> int:
+    """Delete what is older than the last versions of a day; returns the number of folders deleted."""
+    held: dict[str, list[int]] = {}
+    for batch in subfolders(spark, sums):
+        if batch.startswith(f"{BATCH}="):
+            for day in subfolders(spark, f"{sums}/{batch}"):
+                held.setdefault(day, []).append(int(batch.partition("=")[2]))
+    old = [f"{sums}/{BATCH}={n}/{day}" for day, batches in held.items() for n in sorted(batches)[:-keep]]
+    for path in old:
+        remove_folder(spark, path)
+    return len(old)
+
+
 def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
     """The newest version of each key."""
     rest = [c for c in versions.columns if c not in (*keys, "batch")]

@@ -251,33 +251,61 @@ def test_nearest_in_time_edges(spark):
     assert {r.id: r.sid for r in got} == {1: 11, 2: 11, 3: 20, 5: 41}
 
 
-def test_numbering_in_slices_equals_one_window(spark):
+@pytest.fixture
+def small_partitions(spark):
+    """Range partitions stay as many as asked for, however little they hold."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def by_one_window(df, keys):
+    from pyspark.sql.window import Window
+
+    order = Window.partitionBy(*keys).orderBy(F.col("x").asc_nulls_first(), F.col("id").asc_nulls_first())
+    return sorted(df.withColumn("pos", F.row_number().over(order).cast("long")).collect(), key=repr)
+
+
+def test_numbering_over_partitions_equals_one_window(spark, small_partitions):
     df = spark.range(5000).select("id", (F.col("id") % 3).alias("k"), (F.col("id") * 7919 % 1000).alias("x"))
     for keys in ([], ["k"]):
-        got = ranking.numbered(df, keys, F.col("x"), "id", "pos", slice_rows=100)
-        from pyspark.sql.window import Window
+        assert sorted(ranking.numbered(df, keys, F.col("x"), "id", "pos").collect(), key=repr) == by_one_window(df, keys)
 
-        want = df.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("x", "id")))
-        assert sorted(got.collect()) == sorted(want.withColumn("pos", F.col("pos").cast("long")).collect())
 
+def test_numbering_of_a_hot_key_with_a_text_tie(spark, small_partitions):
+    """60% of the rows have one key and one order value; they are parted by the text that breaks the tie."""
+    hot = F.col("i") % 5 < 3
+    df = spark.range(4000).toDF("i").select(
+        F.concat(F.lit("t"), F.pmod(F.col("i") * 7919, F.lit(4000))).alias("id"),
+        F.when(hot, "hot").when(F.col("i") % 11 == 0, None).otherwise(F.concat(F.lit("k"), F.col("i") % 40)).alias("k"),
+        F.when(hot, 500).when(F.col("i") % 7 == 0, None).otherwise(F.col("i") % 1000).alias("x"),
+    )
+    for keys in (["k"], []):
+        assert sorted(ranking.numbered(df, keys, F.col("x"), "id", "pos").collect(), key=repr) == by_one_window(df, keys)
+    parted = ranking._parted(df, ["k"], F.col("x"), "id")
+    counts = [r["count"] for r in parted.where("k = 'hot'").groupBy("_part").count().collect()]
+    assert len(counts) >= 4 and max(counts) < 1000
+
+
+def test_numbering_plan_reads_twice_and_broadcasts_nothing(spark):
+    df = spark.range(500).select("id", (F.col("id") % 3).alias("k"), (F.col("id") % 10).alias("x"))
+    for made in (ranking.numbered(df, ["k"], F.col("x"), "id"), ranking.numbered(df, [], F.col("x"), "id")):
+        plan = made._jdf.queryExecution().sparkPlan().toString()  # its one subquery is the second scan
+        assert plan.count("FileScan parquet") == 1 and "scalar-subquery" in plan
+        assert "Broadcast" not in plan and "Join" not in plan
 
-def test_numbering_where_most_rows_share_one_value(spark):
-    from pyspark.sql.window import Window
 
-    x = F.when(F.col("id") % 2 == 0, 500).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 1000)
-    df = spark.range(4000).select((4000 - F.col("id")).alias("id"), F.lit("hot").alias("k"), x.alias("x"))
-    got = ranking.numbered(df, ["k"], F.col("x"), "id", "pos", slice_rows=50)
-    order = Window.partitionBy("k").orderBy(F.col("x").asc_nulls_first(), "id")
-    want = df.withColumn("pos", F.row_number().over(order).cast("long"))
-    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+def test_numbering_of_nothing(spark):
+    df = spark.range(0).select("id", F.lit("a").alias("k"), F.lit(1).alias("x"))
+    assert ranking.numbered(df, ["k"], F.col("x"), "id").collect() == []
 
 
 def test_even_split_and_batches(spark):
     df = spark.range(23).toDF("id")
-    tiles = ranking.even_split(df, 4, F.col("id"), "id", slice_rows=5).collect()
+    tiles = ranking.even_split(df, 4, F.col("id"), "id").collect()
     sizes = [sum(r.tile == t for r in tiles) for t in (1, 2, 3, 4)]
     assert sizes == [6, 6, 6, 5]
-    got = ranking.batches(df, 5, F.col("id"), "id", ["id"], slice_rows=5).orderBy("batch").collect()
+    got = ranking.batches(df, 5, F.col("id"), "id", ["id"]).orderBy("batch").collect()
     assert [[i.id for i in r["items"]] for r in got][-1] == [20, 21, 22] and len(got) == 5
 
 

@@ -334,3 +334,159 @@ def test_latest_and_realtime_lines(spark):
     latest = spark.createDataFrame([(["KXYZ", "1", "2", "2026", "07", "21", "10", "30", "5"],)], "line array<string>")
     row = ntz(ingest.latest_rows(latest), "timestamp_tz").first()
     assert (row.station_id, row.timestamp_tz) == ("KXYZ", T(2026, 7, 21, 10, 30))
+
+
+def test_history_join_of_a_cluster_and_an_outlier(spark):
+    """2,000 records of a second each and one decades earlier: a fact meets few of them, wherever it lies."""
+    start = 1_700_000_000
+    spans = [(0, "long ago", 0, 1)] + [(start + i, f"r{i}", start + i, start + i) for i in range(2000)]
+    seconds = lambda c: F.timestamp_seconds(c)
+    history = spark.createDataFrame(spans, "n long, name string, s long, e long").select(
+        F.lit("k").alias("k"), "name", seconds("s").alias("start_time"), (seconds("e") + F.expr("INTERVAL 999999 MICROSECOND")).alias("end_time")
+    )
+    facts = spark.range(2000).select(F.lit("k").alias("k"), "id", (seconds(F.col("id") + start) + F.expr("INTERVAL 5 MICROSECOND")).alias("ts"))
+    filed = joins.filed_by_length(history, "k", "start_time", "end_time")
+    asked = joins.asked_by_level(facts, filed, "k", "ts")
+    assert filed.count() <= joins.SCD_GROWTH * 2001
+    met = asked.join(filed, ["k", "_level", "_cell"])
+    levels = filed.select("_level").distinct().count()
+    assert met.groupBy("id").count().agg(F.max("count")).first()[0] <= 10 * levels
+    got = joins.scd_join(facts, history, "k", "ts").collect()
+    assert sorted((r.id, r.name) for r in got) == sorted((i, f"r{i}") for i in range(2000))
+
+
+def test_history_join_equals_plain_join(spark):
+    """Random rows: overlapping, open, empty, reversed, with missing times and keys, before 1970 too."""
+    import random
+
+    draw = random.Random(3)
+    at = lambda: draw.choice([None, *[draw.randrange(-(10**e), 10**e) for e in (1, 3, 6, 9, 15)]])
+    history = spark.createDataFrame([(draw.choice(["a", "b", "c", None]), at(), at(), i) for i in range(400)], "k string, s long, e long, n long")
+    history = history.unionByName(history.selectExpr("k", "s", "s + n AS e", "n + 1000 AS n"))
+    history = history.select("k", F.timestamp_micros("s").alias("start_time"), F.timestamp_micros("e").alias("end_time"), "n")
+    facts = spark.createDataFrame([(draw.choice(["a", "b", "d", None]), at(), i) for i in range(300)], "k string, at long, id long")
+    edges = history.where("n < 60").selectExpr("k", "unix_micros(coalesce(end_time, start_time)) AS at", "n + 1000 AS id")
+    facts = facts.unionByName(edges).select("k", F.timestamp_micros("at").alias("ts"), "id")
+    got = joins.scd_join(facts, history, "k", "ts").select("id", "n").collect()
+    plain = facts.join(history, "k").where("ts BETWEEN start_time AND coalesce(end_time, ts)").select("id", "n").collect()
+    assert sorted(got) == sorted(plain) and len(plain) > 1000
+
+
+def hour_rows(spark, sums):
+    return sorted((r.station, r.hour, r.v) for r in ntz(ingest.hour_means(spark, sums, "station", ["v"]), "hour").collect())
+
+
+def test_readings_of_one_hour_in_several_batches(spark, tmp_path):
+    """09:35 and 10:25 belong to 10:00 whichever batch they come in; repeats and replayed batches add nothing."""
+    source, store, sums, checkpoint = (str(tmp_path / n) for n in ("in", "store", "sums", "checkpoint"))
+    schema = "station string, ts timestamp, v double"
+
+    def arrive(*rows):
+        spark.createDataFrame([("s", utc(*at), v) for at, v in rows], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = ingest.file_stream(spark, source, spark.createDataFrame([], schema).schema, maxFilesPerTrigger="1")
+        ingest.accumulate_hours(stream, store, sums, "station", "ts", ["v"], checkpoint).awaitTermination()
+        return hour_rows(spark, sums)
+
+    assert arrive(((2024, 5, 1, 9, 35), 1.0)) == [("s", T(2024, 5, 1, 10), 1.0)]
+    assert arrive(((2024, 5, 1, 10, 25), 3.0)) == [("s", T(2024, 5, 1, 10), 2.0)]
+    first = [("s", T(2024, 5, 1, 10), 2.0), ("s", T(2024, 5, 2, 0), 7.0)]
+    assert arrive(((2024, 5, 1, 23, 40), 7.0), ((2024, 5, 1, 10, 25), 3.0)) == first
+    assert arrive(((2024, 5, 1, 10, 0), None)) == first
+    late = [*first[:1], ("s", T(2024, 5, 1, 11), 5.0), ("s", T(2024, 5, 2, 0), 8.0)]
+    assert arrive(((2024, 5, 2, 0, 10), 9.0), ((2024, 5, 1, 10, 30), 5.0)) == late
+    assert len(tables.subfolders(spark, sums)) >= 2
+    days = [d for b in tables.subfolders(spark, sums) for d in tables.subfolders(spark, f"{sums}/{b}")]
+    assert max(days.count(d) for d in days) == 2
+
+
+def test_a_replayed_batch_writes_the_same_sums(spark, tmp_path):
+    """A checkpoint that forgot the last batch, as after a failure before its commit."""
+    source, store, sums, checkpoint = (str(tmp_path / n) for n in ("in", "store", "sums", "checkpoint"))
+    rows = spark.range(90).select(
+        (F.col("id") % 3).alias("station"), F.timestamp_seconds(F.col("id") * 700).alias("ts"), (F.col("id") * 1.0).alias("v")
+    )
+    for part in (2, 0, 1):
+        rows.where(F.col("v") % 3 == part).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = ingest.file_stream(spark, source, rows.schema, maxFilesPerTrigger="1")
+        ingest.accumulate_hours(stream, store, sums, "station", "ts", ["v"], checkpoint).awaitTermination()
+        return hour_rows(spark, sums)
+
+    want = run()
+    (tmp_path / "checkpoint" / "commits" / "2").unlink()
+    (tmp_path / "checkpoint" / "commits" / ".2.crc").unlink(missing_ok=True)
+    assert run() == want
+    hour = F.date_trunc("HOUR", F.col("ts") + F.expr("INTERVAL '30' MINUTE")).alias("hour")
+    plain = ntz(rows.groupBy("station", hour).agg(F.avg("v").alias("v")), "hour").collect()
+    assert want == sorted((r.station, r.hour, r.v) for r in plain)
+
+
+def gauge_lake(spark, tmp_path, *times):
+    lake = registry.Lake(spark, str(tmp_path / "lake"))
+    place = "named_struct('lon', -157.75D, 'lat', 21.25D) AS geometry"
+    spark.range(1).selectExpr("'a' AS station_id", place, "1L AS cell").write.mode("overwrite").parquet(lake.path("tide_stations"))
+    rows = spark.createDataFrame([("a", utc(*t), 5 + i) for i, t in enumerate(times)], "station_id string, timestamp_tz timestamp, reading_mm long")
+    rows.write.mode("overwrite").parquet(lake.path("bronze/tides"))
+    return lake
+
+
+def tide_times(lake):
+    rows = lake.table("tide_measurements").select("timestamp_tz")
+    return sorted(r.timestamp_tz for r in ntz(rows, "timestamp_tz").collect())
+
+
+def test_a_day_without_readings_any_more_becomes_empty(spark, tmp_path):
+    lake = gauge_lake(spark, tmp_path, (2024, 1, 1, 5), (2024, 1, 2, 5), (2024, 1, 3, 5))
+    days = [(utc(2024, 1, 1), utc(2024, 1, 4))]
+    registry.refresh(lake, ["tide_measurements"], days)
+    gauge_lake(spark, tmp_path, (2024, 1, 1, 5), (2024, 1, 3, 6))
+    registry.refresh(lake, ["tide_measurements"], [(utc(2024, 1, 2), utc(2024, 1, 3))])
+    assert tide_times(lake) == [T(2024, 1, 1, 5), T(2024, 1, 3, 5)]
+    registry.refresh(lake, ["tide_measurements"], days)
+    assert tide_times(lake) == [T(2024, 1, 1, 5), T(2024, 1, 3, 6)]
+    gauge_lake(spark, tmp_path, (2023, 1, 1, 5))
+    registry.refresh(lake, ["tide_measurements"], [(utc(2024, 1, 1), utc(2024, 1, 3))])
+    assert tide_times(lake) == [T(2024, 1, 3, 6)]
+
+
+def test_a_load_with_repeated_keys_publishes_nothing(spark, tmp_path):
+    from shoregrid.operators.audit import DuplicateKeys
+
+    lake = gauge_lake(spark, tmp_path, (2024, 1, 1, 5), (2024, 1, 2, 5))
+    days = [(utc(2024, 1, 1), utc(2024, 1, 4))]
+    registry.refresh(lake, ["tide_measurements"], days)
+    before = sorted(lake.table("tide_measurements").collect())
+    gauge_lake(spark, tmp_path, (2024, 1, 1, 6), (2024, 1, 2, 5), (2024, 1, 2, 5))
+    with pytest.raises(DuplicateKeys, match="tide_measurements"):
+        registry.refresh(lake, ["tide_measurements"], days)
+    with pytest.raises(DuplicateKeys):
+        registry.refresh_full(lake, "tide_measurements")
+    assert sorted(lake.table("tide_measurements").collect()) == before
+
+
+def test_range_refresh_reads_its_days_only(spark, tmp_path):
+    lake = gauge_lake(spark, tmp_path, *[(2024, 1, d, 5) for d in range(1, 20)])
+    registry.refresh_full(lake, "tide_measurements")
+    day = F.lit(utc(2024, 1, 4))
+    rows = lake.table("tide_measurements", day - F.expr("INTERVAL '30' MINUTE"), day + F.expr("INTERVAL '1' DAY"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_day" in plan and len(rows.inputFiles()) >= 1
+    assert sorted(r.d for r in rows.select(F.dayofmonth("timestamp_tz").alias("d")).collect()) == [3, 4, 5]
+
+
+def test_missing_days_are_found_and_filled(spark, tmp_path):
+    days = [*range(1, 6), 9, 10, 20]
+    lake = gauge_lake(spark, tmp_path, *[(2024, 1, d, 23, 45) for d in days], (2026, 3, 1, 0))
+    assert registry.missing(lake, "tide_measurements").count() == 4
+    registry.refresh(lake, ["tide_measurements"], [(utc(2024, 1, 2), utc(2024, 1, 4)), (utc(2024, 1, 20), utc(2024, 1, 21))])
+    done = registry.refresh_missing(lake, ["tide_measurements"])["tide_measurements"]
+    assert [(a.replace(tzinfo=None), b.replace(tzinfo=None)) for a, b in done] == [
+        (T(2024, 1, 1), T(2024, 1, 2)), (T(2024, 1, 4), T(2024, 1, 6)), (T(2024, 1, 9), T(2024, 1, 11)), (T(2026, 3, 1), T(2026, 3, 2)),
+    ]
+    assert tide_times(lake) == [*[T(2024, 1, d, 23, 45) for d in days], T(2026, 3, 1)]
+    assert registry.refresh_missing(lake, ["tide_measurements"]) == {"tide_measurements": []}
+    # an hour that begins a day belongs to readings of the evening before
+    spark.createDataFrame([(1,)], "cell long").write.parquet(lake.path("coast_cells"))
+    ranges = [(a.day, b.day) for a, b in registry.refresh_missing(lake, ["tide_idw"])["tide_idw"]]
+    assert ranges == [(2, 7), (10, 12), (21, 22), (1, 2)]
