@@ -9,53 +9,66 @@ from pyspark.sql.window import Window
 from shoregrid.functions.moments import micros
 from shoregrid.operators.sized import join_dimension
 
-LEVEL_BITS = 3
-"""Time cells grow by eight times from one level to the next."""
+LEVEL_BITS = 5
+"""Time cells grow by 32 times from one level to the next."""
 BEYOND = -1
-"""The level of what is asked for at or after the newest time of a key's history."""
+"""The level of what is asked for at or after the newest time of the history."""
 SCD_GROWTH = 3
 """How many copies of a history row `scd_join` makes at most."""
 
 
 def _cell(us: Column, level: Column) -> Column:
-    return F.call_function("shiftright", us, level * LEVEL_BITS).cast("long")
+    return F.when(level == BEYOND, F.lit(0)).otherwise(
+        F.call_function("shiftright", us, F.greatest(level, F.lit(0)) * LEVEL_BITS)
+    )
 
 
-def _place(level: Column, cell: Column) -> Column:
-    return F.struct(level.cast("int").alias("_level"), cell.alias("_cell"))
+def newest_time(history: DataFrame, start: str, end: str) -> Column:
+    """The latest start or end of the history, in microseconds, as a scalar subquery."""
+    from_us, to_us = micros(F.col(start)), micros(F.col(end))
+    return history.agg(F.max(F.greatest(from_us, to_us)).alias("newest")).scalar()
 
 
-def filed_by_length(history: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """History rows once for each time cell they lie in, with `_level`, `_cell` and their key's `_newest` time.
+def filed_by_length(history: DataFrame, start: str, end: str) -> DataFrame:
+    """History rows once for each time cell they lie in, as `_level` and `_cell`.
 
-    A row is filed on the lowest level whose cells are as long as it is, so it lies in two cells at most. An
-    open row ends, for this, just before the newest time; it is also filed beyond it, as is a row that ends there.
+    A row is filed on the lowest level whose cells are as long as it is, so it lies in two cells at most. An open
+    row ends, for this, just before the newest time of all; it is also filed beyond it, as is a row that ends there.
     """
-    from_us, to_us = micros(F.col(start)), micros(F.col(end))
-    newest = history.groupBy(key).agg(F.max(F.greatest(from_us, F.coalesce(to_us, from_us))).alias("_newest"))
-    last = F.coalesce(to_us, F.col("_newest") - 1)
-    length = last - from_us
-    bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
-    level = F.ceil(bits / LEVEL_BITS).cast("int")
+    rows = _levelled(history, start, end)
+    from_us, to_us, level = micros(F.col(start)), micros(F.col(end)), F.col("_own")
+    place = lambda n, cell: F.struct(n.alias("_level"), cell.cast("long").alias("_cell"))
     none = F.array().cast("array<struct<_level: int, _cell: bigint>>")
-    own = F.when(length >= 0, F.array_distinct(F.array(*[_place(level, _cell(us, level)) for us in (from_us, last)])))
-    reaches = to_us.isNull() | ((to_us == F.col("_newest")) & (length >= 0))
-    beyond = F.when(reaches & from_us.isNotNull(), F.array(_place(F.lit(BEYOND), F.lit(0).cast("long"))))
-    placed = join_dimension(history, newest, [key]).withColumn(
-        "_at", F.explode(F.concat(F.coalesce(own, none), F.coalesce(beyond, none)))
+    cells = F.array_distinct(F.array(*[place(level, _cell(us, level)) for us in (from_us, F.col("_last"))]))
+    reaches = from_us.isNotNull() & (to_us.isNull() | ((to_us == F.col("_newest")) & level.isNotNull()))
+    beyond = F.when(reaches, F.array(place(F.lit(BEYOND), F.lit(0))))
+    placed = rows.withColumn(
+        "_at", F.explode(F.concat(F.when(level.isNotNull(), cells).otherwise(none), F.coalesce(beyond, none)))
     )
-    return placed.select(*history.columns, "_newest", "_at.*")
+    return placed.select(*history.columns, "_at.*")
+
+
+def _levelled(history: DataFrame, start: str, end: str) -> DataFrame:
+    """History rows with the time they count up to (`_last`) and their level (`_own`, missing for reversed rows)."""
+    rows = history.withColumn("_newest", newest_time(history, start, end))
+    rows = rows.withColumn("_last", F.coalesce(micros(F.col(end)), F.col("_newest") - 1))
+    length = F.col("_last") - micros(F.col(start))
+    bits = F.when(length <= 1, 0).otherwise(F.length(F.bin(length - 1)))
+    return rows.withColumn("_own", F.when(length >= 0, F.ceil(bits / LEVEL_BITS).cast("int")))
+
+
+def levels_of(history: DataFrame, start: str, end: str) -> Column:
+    """The levels that rows of the history are filed on, as a scalar subquery."""
+    return _levelled(history, start, end).agg(F.collect_set("_own").alias("levels")).scalar()
 
 
-def asked_by_level(fact: DataFrame, filed: DataFrame, key: str, ts: str) -> DataFrame:
-    """Fact rows once for each level that their key has, with the cell of their time; beyond its newest time just once."""
-    levels = filed.groupBy(key).agg(F.max("_newest").alias("_newest"), F.collect_set("_level").alias("_levels"))
+def asked_by_level(fact: DataFrame, ts: str, newest: Column, levels: Column) -> DataFrame:
+    """Fact rows once for each level, with the cell of their time; at or after the newest time just once."""
     us = micros(F.col(ts))
-    cells = F.transform(F.filter("_levels", lambda n: n != BEYOND), lambda n: _place(n, _cell(us, n)))
-    beyond = F.array(_place(F.lit(BEYOND), F.lit(0).cast("long")))
-    asked = join_dimension(fact, levels, [key])
-    asked = asked.withColumn("_at", F.explode(F.when(us >= F.col("_newest"), beyond).otherwise(cells)))
-    return asked.select(*fact.columns, "_at.*")
+    timed = fact.withColumn("_newest", newest).withColumn("_levels", levels)
+    each = F.when(us >= F.col("_newest"), F.array(F.lit(BEYOND))).otherwise(F.col("_levels"))
+    asked = timed.withColumn("_level", F.explode(each))
+    return asked.withColumn("_cell", _cell(us, F.col("_level"))).drop("_newest", "_levels")
 
 
 def scd_join(
@@ -70,16 +83,17 @@ def scd_join(
     """Fact rows with the history rows of their key that hold at their time (both ends included).
 
     An open end (NULL) holds forever. History rows are filed in time cells as long as they are, and a fact asks for
-    one cell on each level that its key has (there are at most 21): it meets rows of one cell that are longer than an
-    eighth of it. Where rows of a key do not overlap, that is ten a level at most, however they cluster; where
-    they do, it meets no more than lie in the neighbourhood of its time, of their own length.
+    one cell on each level that the history has (13 at most): it meets rows of one cell that are longer than a part in
+    2^LEVEL_BITS of it. Where rows of a key do not overlap, these are 2^LEVEL_BITS + 2 a level at most, however they
+    cluster; where they do, a fact meets no more than lie in the neighbourhood of its time, of their own length.
+    A key's rows that are asked for by very many facts are split by the adaptive skew join.
     """
-    filed = filed_by_length(history, key, start, end)
-    asked = asked_by_level(fact, filed, key, ts)
+    filed = filed_by_length(history, start, end)
+    asked = asked_by_level(fact, ts, newest_time(history, start, end), levels_of(history, start, end))
     holds = F.col(ts).between(F.col(start), F.coalesce(F.col(end), F.col(ts)))
     if residual is not None:
         holds = holds & residual
-    found = join_dimension(asked, filed.drop("_newest"), [key, "_level", "_cell"], residual=holds, growth=SCD_GROWTH)
+    found = join_dimension(asked, filed, [key, "_level", "_cell"], residual=holds, growth=SCD_GROWTH, even=True)
     return found.drop("_level", "_cell")
 
 

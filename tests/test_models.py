@@ -345,12 +345,13 @@ def test_history_join_of_a_cluster_and_an_outlier(spark):
         F.lit("k").alias("k"), "name", seconds("s").alias("start_time"), (seconds("e") + F.expr("INTERVAL 999999 MICROSECOND")).alias("end_time")
     )
     facts = spark.range(2000).select(F.lit("k").alias("k"), "id", (seconds(F.col("id") + start) + F.expr("INTERVAL 5 MICROSECOND")).alias("ts"))
-    filed = joins.filed_by_length(history, "k", "start_time", "end_time")
-    asked = joins.asked_by_level(facts, filed, "k", "ts")
+    filed = joins.filed_by_length(history, "start_time", "end_time")
+    levels = joins.levels_of(history, "start_time", "end_time")
+    asked = joins.asked_by_level(facts, "ts", joins.newest_time(history, "start_time", "end_time"), levels)
     assert filed.count() <= joins.SCD_GROWTH * 2001
     met = asked.join(filed, ["k", "_level", "_cell"])
-    levels = filed.select("_level").distinct().count()
-    assert met.groupBy("id").count().agg(F.max("count")).first()[0] <= 10 * levels
+    bound = (2**joins.LEVEL_BITS + 2) * filed.select("_level").distinct().count()
+    assert met.groupBy("id").count().agg(F.max("count")).first()[0] <= bound < 200
     got = joins.scd_join(facts, history, "k", "ts").collect()
     assert sorted((r.id, r.name) for r in got) == sorted((i, f"r{i}") for i in range(2000))
 
