@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shoregrid.operators.sized import written  # noqa: F401  (re-exported)
 from shoregrid.session import prepare, work_path  # noqa: F401  (re-exported)
+from shoregrid.sinks.tables import remove_folder
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -38,6 +39,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Scratch:
+    """Copies in the shared folder that are deleted together once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for path in self.paths:
+            remove_folder(self.spark, path)
+        self.paths = []
+        release(self.spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 

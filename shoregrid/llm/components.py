@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoregrid.llm.common import written
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(
+    links: DataFrame, a: str = "a", b: str = "b", written: Callable[[DataFrame, str], DataFrame] = written
+) -> DataFrame:
     """(node, root) for every node of a link; root is the smallest node that can be reached.
 
     Each round points every node at its smallest neighbour (or itself), follows the pointers once
     more and replaces the ends of all links by what they point at, until no link is left. The
     smallest node of a component always stays, so it is the last one. A round is one grouping with
     map-side minima and joins on node ids that the adaptive skew join can split; a node's links are
-    never gathered. Null ends and loops are ignored; an empty table gives an empty result.
+    never gathered. `written` writes a copy and reads it again. Null ends and loops are ignored; an empty table gives an empty result.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
     links = written(links.distinct(), "links")
