@@ -72,12 +72,17 @@ def _copy(source: str, lake: Lake, start, end) -> DataFrame:
 
 
 def _raw_buoys(lake: Lake, start, end) -> DataFrame:
-    rows = bronze.buoy_bronze(read_observation_text(lake.spark, lake.path("raw/buoys")))
-    return rows.withColumn("year", F.year("year"))
+    """Text files `stdmet/<name>.txt`, or folders `stdmet=<name>.txt` of parts as a Spark job lands them."""
+    lines = read_observation_text(lake.spark, lake.path("raw/buoys"))
+    lines = lines.withColumn("filename", F.replace("filename", F.lit("stdmet="), F.lit("stdmet/")))
+    return bronze.buoy_bronze(lines).withColumn("year", F.year("year"))
 
 
 def _raw_tides(lake: Lake, start, end) -> DataFrame:
-    return bronze.tide_bronze(read_positional_csv(lake.spark, lake.path("raw/tides")))
+    """CSV files `<number><version>.csv`, or folders `gauge=<number><version>.csv` of parts."""
+    rows = read_positional_csv(lake.spark, lake.path("raw/tides"))
+    name = F.regexp_extract("filename", r"([^/=]+\.csv)", 1)
+    return bronze.tide_bronze(rows.withColumn("filename", name))
 
 
 def _raw_wind(lake: Lake, start, end) -> DataFrame:

@@ -34,6 +34,7 @@ def load_all() -> None:
         aggregates,
         expressions,
         joins,
+        lake,
         loading,
         models,
         places,

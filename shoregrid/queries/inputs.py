@@ -130,7 +130,25 @@ TOKENS = [
 ]
 
 
-def buoy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def one_per_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest reading of each station and time as written (minutes for even stations, hours for odd ones)."""
+    written_at = F.when(F.col("user_id") % 2 == 0, F.date_trunc("MINUTE", "ts")).otherwise(F.date_trunc("HOUR", "ts"))
+    return (
+        table(spark, sf_dir, "events")
+        .groupBy("user_id", written_at.cast("timestamp_ntz").alias("ts"))
+        .agg(F.max("value").alias("value"), F.min("event_id").alias("event_id"))
+    )
+
+
+ONE_PER_TIME_SQL = """
+reading AS (
+    SELECT user_id, date_trunc(CASE WHEN user_id % 2 = 0 THEN 'minute' ELSE 'hour' END, ts) AS ts,
+           max(value) AS value
+    FROM events GROUP BY ALL)
+"""
+
+
+def buoy_text(spark: SparkSession, sf_dir: str, readings: DataFrame | None = None) -> DataFrame:
     """Events as raw buoy text: even stations write files with a minute column, odd ones without.
 
     Raw text arrives as many files; the rows are spread evenly to stand in for that, as a small
@@ -161,7 +179,7 @@ def buoy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(even, F.lit("h2024.txt.gz")).otherwise(F.lit("h2004.txt.gz")),
     )
     events = (
-        table(spark, sf_dir, "events")
+        (readings or table(spark, sf_dir, "events"))
         .select("event_id", "user_id", "ts", cents(F.col("value")).alias("n"))
         .repartition(files, "event_id")
     )
@@ -220,8 +238,8 @@ measured AS (
 
 
 def gauge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as hourly gauge rows out of files named by a padded number and a version letter."""
-    events = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    """Events as hourly gauge rows out of files named by a padded number and a version letter."""
+    events = table(spark, sf_dir, "events")
     ts = F.col("ts")
     name = F.concat(
         F.lit("hourly/h"), text.zero_pad(F.col("user_id") % 1000, 3), F.lit("a.csv")
@@ -252,7 +270,7 @@ GAUGE_SQL = f"""
 gauge_row AS (
     SELECT user_id % 1000 AS user_id, date_trunc('hour', ts) AS timestamp_tz,
            CAST(floor(value * 40) AS BIGINT) - 2800 AS reading_mm
-    FROM events WHERE event_type = 'purchase'),
+    FROM events),
 gauge AS (
     SELECT user_id, {LON_SQL} AS lon, {LAT_SQL} AS lat, {cell_sql(LON_SQL, LAT_SQL)} AS station_cell
     FROM (SELECT DISTINCT user_id % 1000 AS user_id FROM events)),
@@ -267,40 +285,37 @@ gauge_near AS (
 
 
 def wind_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks and views as the two wind components at the stations' places."""
+    """Events as the two wind components at the stations' places: even numbers eastward, odd ones northward."""
     user = F.col("user_id")
     lon, lat = station_lon(user), station_lat(user)
-    label = F.when(F.col("event_type") == "click", "VAR_10U").otherwise("VAR_10V")
+    label = F.when(F.col("event_id") % 2 == 0, "VAR_10U").otherwise("VAR_10V")
     hour = F.date_trunc("HOUR", "ts")
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type").isin("click", "view"))
-        .select(
-            ((F.col("value") - 60.0) / 10.0).alias("wind_dim_val"),
-            label.alias("wind_dim"),
-            lon.alias("longitude"),
-            lat.alias("latitude"),
-            hour.alias("utc_date"),
-            grid.cell_of(lon, lat).alias("cell"),
-        )
+    return table(spark, sf_dir, "events").select(
+        ((F.col("value") - 60.0) / 10.0).alias("wind_dim_val"),
+        label.alias("wind_dim"),
+        lon.alias("longitude"),
+        lat.alias("latitude"),
+        hour.alias("utc_date"),
+        grid.cell_of(lon, lat).alias("cell"),
     )
 
 
-WIND_SQL = f"""
-wind_part AS (
-    SELECT {cell_sql(LON_SQL, LAT_SQL)} AS cell, date_trunc('hour', ts) AS timestamp_tz, event_type,
-           (value - 60e0) / 10e0 AS part, {LON_SQL} AS lon, {LAT_SQL} AS lat
-    FROM events WHERE event_type IN ('click', 'view')),
+WIND_UV_SQL = """
 wind_uv AS (
-    SELECT cell, timestamp_tz, avg(u.part) AS u, avg(v.part) AS v,
-           max(struct_pack(lon := u.lon, lat := u.lat)) AS place
-    FROM (SELECT * FROM wind_part WHERE event_type = 'click') u
-    JOIN (SELECT * FROM wind_part WHERE event_type = 'view') v USING (cell, timestamp_tz)
-    GROUP BY cell, timestamp_tz),
+    SELECT cell, timestamp_tz, avg(part) FILTER (eastward) AS u, avg(part) FILTER (NOT eastward) AS v,
+           max(struct_pack(lon := lon, lat := lat)) FILTER (eastward) AS place
+    FROM wind_part GROUP BY cell, timestamp_tz),
 wind AS (
     SELECT cell, timestamp_tz, place.lon AS lon, place.lat AS lat, sqrt(u * u + v * v) AS wind_speed_ms,
            (degrees(atan2(-u, -v)) + 360e0) % 360e0 AS wind_dir
-    FROM wind_uv)
+    FROM wind_uv WHERE u IS NOT NULL AND v IS NOT NULL)
+"""
+
+WIND_SQL = f"""
+wind_part AS (
+    SELECT {cell_sql(LON_SQL, LAT_SQL)} AS cell, date_trunc('hour', ts) AS timestamp_tz, event_id % 2 = 0 AS eastward,
+           (value - 60e0) / 10e0 AS part, {LON_SQL} AS lon, {LAT_SQL} AS lat
+    FROM events), {WIND_UV_SQL}
 """
 
 

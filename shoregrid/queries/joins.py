@@ -63,10 +63,10 @@ def scd_join(spark, sf_dir):
     )
 
 
-def _hourly(spark, sf_dir, kind: str, name: str):
+def _hourly(spark, sf_dir, kinds: tuple[str, ...], name: str):
     return (
         table(spark, sf_dir, "events")
-        .where(F.col("event_type") == kind)
+        .where(F.col("event_type").isin(*kinds))
         .groupBy("user_id", truncate("HOUR", F.col("ts")).alias("hour"))
         .agg(F.avg("value").alias(name))
     )
@@ -74,19 +74,21 @@ def _hourly(spark, sf_dir, kind: str, name: str):
 
 @query("""
 WITH h AS (
-    SELECT user_id, date_trunc('hour', ts) AS hour, event_type, avg(value) AS v
-    FROM events GROUP BY ALL)
+    SELECT user_id, date_trunc('hour', ts) AS hour, avg(value) AS v,
+           CASE WHEN event_type IN ('view', 'error') THEN 'own' WHEN event_type IN ('click', 'signup') THEN 'gridded'
+                ELSE 'gauge' END AS role
+    FROM events GROUP BY user_id, hour, role)
 SELECT b.user_id, b.hour, round(coalesce(c.v, b.v), 6) AS wind, round(coalesce(p.v / 1000e0, b.v), 6) AS tide
-FROM (SELECT * FROM h WHERE event_type = 'view') b
-LEFT JOIN (SELECT * FROM h WHERE event_type = 'click') c USING (user_id, hour)
-LEFT JOIN (SELECT * FROM h WHERE event_type = 'purchase') p USING (user_id, hour)
+FROM (SELECT * FROM h WHERE role = 'own') b
+LEFT JOIN (SELECT * FROM h WHERE role = 'gridded') c USING (user_id, hour)
+LEFT JOIN (SELECT * FROM h WHERE role = 'gauge') p USING (user_id, hour)
 """)
 def fallback_enrichment(spark, sf_dir):
     """One source enriched by two others, falling back on its own value."""
-    base = _hourly(spark, sf_dir, "view", "own")
+    base = _hourly(spark, sf_dir, ("view", "error"), "own")
     keys = ["user_id", "hour"]
-    joined = base.join(_hourly(spark, sf_dir, "click", "gridded"), keys, "left").join(
-        _hourly(spark, sf_dir, "purchase", "gauge"), keys, "left"
+    joined = base.join(_hourly(spark, sf_dir, ("click", "signup"), "gridded"), keys, "left").join(
+        _hourly(spark, sf_dir, ("purchase",), "gauge"), keys, "left"
     )
     return joined.select(
         *keys,

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoregrid.queries import query
-from shoregrid.queries.inputs import HOUR_SQL, table
+from shoregrid.operators.joins import newer_than
+from shoregrid.queries.inputs import HOUR_SQL, padded_sql, table
+from shoregrid.functions import text
 from shoregrid.functions.numbers import round_half_away
 from shoregrid.session import work_path
 from shoregrid.streaming import ingest
@@ -99,3 +101,90 @@ def late_hours_stream(spark, sf_dir):
         F.col("hour").cast("timestamp_ntz").alias("hour"),
         round_half_away(F.col("value"), 6).alias("value"),
     )
+
+
+def _feed(spark, sf_dir, front: list):
+    """Events as feed lines in four parts; every 37th has no hour, every 41st is commented out, some come twice."""
+    events = table(spark, sf_dir, "events").select("event_id", text.zero_pad(F.col("user_id"), 5).alias("station"), "ts", "value")
+    number = F.col("event_id")
+    hour = F.when(number % 37 == 0, "MM").otherwise(F.date_format("ts", "HH"))
+    time = F.concat_ws(" ", F.date_format("ts", "yyyy MM dd"), hour, F.date_format("ts", "mm"))
+    line = F.concat_ws("  ", *front, time, F.round("value", 1).cast("string"))
+    copies = F.when(number % 29 == 0, F.array(number % 4, (number + 1) % 4)).otherwise(F.array(number % 4))
+    return events.select(
+        "station",
+        F.explode(copies).alias("part"),
+        F.concat(F.when(number % 41 == 0, "#").otherwise(""), line).alias("value"),
+    )
+
+
+FEED_SQL = f"""
+line AS (
+    SELECT {padded_sql("user_id")} AS station_id, date_trunc('minute', ts) AS seen,
+           CASE WHEN event_id % 29 = 0 THEN 2 ELSE 1 END AS copies,
+           CASE WHEN event_id % 41 = 0 THEN 'comment' WHEN event_id % 37 = 0 THEN 'time' ELSE 'good' END AS kind
+    FROM events)
+"""
+
+
+def _fed(spark, target, rejected, counters, station):
+    good = spark.read.parquet(target).groupBy("station_id").agg(F.count(F.lit(1)).alias("n_good"))
+    bad = spark.read.parquet(rejected).groupBy(station.alias("station_id")).agg(F.count(F.lit(1)).alias("n_rejected"))
+    counts = spark.read.parquet(counters).agg(F.sum("read").alias("read"), F.expr("sum(comments + rejected + readable)").alias("kept"))
+    whole = good.join(bad, "station_id", "full").select(
+        "station_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_good", "n_rejected")]
+    )
+    return whole.withColumns({"lines_read": counts.select("read").scalar(), "lines_kept": counts.select("kept").scalar()})
+
+
+@query(f"""
+WITH {FEED_SQL}
+SELECT station_id, count(DISTINCT seen) FILTER (kind = 'good') AS n_good,
+       CAST(coalesce(sum(copies) FILTER (kind = 'time'), 0) AS BIGINT) AS n_rejected,
+       (SELECT CAST(sum(copies) AS BIGINT) FROM line) AS lines_read, (SELECT CAST(sum(copies) AS BIGINT) FROM line) AS lines_kept
+FROM line GROUP BY station_id HAVING n_good + n_rejected > 0
+""")
+def latest_feed(spark, sf_dir):
+    """Latest-observation text from four files, a micro-batch each: what can be read once, the rest in a side table."""
+    source, target, rejected, counters = (work_path(spark, n) for n in ("feed", "latest-lines", "rejected", "counters"))
+    lines = _feed(spark, sf_dir, [F.col("station"), F.lit("21.3 -157.9")])
+    for part in (2, 0, 3, 1):
+        lines.where(F.col("part") == part).select("value").coalesce(1).write.mode("append").text(source)
+    for _ in range(2):
+        stream = ingest.text_stream(spark, source, maxFilesPerTrigger="1")
+        checkpoint = work_path(spark, "checkpoint")
+        ingest.ingest_lines(stream, ingest.latest_rows, target, rejected, counters, checkpoint).awaitTermination()
+    return _fed(spark, target, rejected, counters, text.field_at(text.fields(F.col("value")), 1))
+
+
+@query(f"""
+WITH {FEED_SQL},
+newest AS (
+    SELECT station_id, max(seen) AS newest FROM line WHERE seen < TIMESTAMP '2024-01-12' AND station_id < '00100' GROUP BY 1)
+SELECT station_id, count(DISTINCT seen) FILTER (kind = 'good' AND (newest IS NULL OR seen > newest)) AS n_good,
+       CAST(coalesce(sum(copies) FILTER (kind = 'time'), 0) AS BIGINT) AS n_rejected,
+       (SELECT CAST(sum(copies) AS BIGINT) FROM line) AS lines_read, (SELECT CAST(sum(copies) AS BIGINT) FROM line) AS lines_kept
+FROM line LEFT JOIN newest USING (station_id) GROUP BY station_id HAVING n_good + n_rejected > 0
+""")
+def realtime_feed(spark, sf_dir):
+    """Per-station realtime text, only what is newer than the archive of its station."""
+    source, target, rejected, counters = (work_path(spark, n) for n in ("feed", "realtime-lines", "rejected", "counters"))
+    name = F.concat("station", F.lit(".txt")).alias("realtime2")
+    lines = _feed(spark, sf_dir, []).select("part", name, "value")
+    for part in (1, 3, 0, 2):
+        lines.where(F.col("part") == part).drop("part").repartition(2, "realtime2").write.mode("append").partitionBy("realtime2").text(source)
+    archive = table(spark, sf_dir, "events").select(
+        text.zero_pad(F.col("user_id"), 5).alias("station_id"), F.date_trunc("MINUTE", "ts").alias("timestamp_tz")
+    )
+    archive = archive.where("timestamp_tz < TIMESTAMP '2024-01-12' AND station_id < '00100'")
+    stream = ingest.text_stream(spark, source, maxFilesPerTrigger="400")
+    ingest.ingest_lines(
+        stream,
+        lambda rows: ingest.realtime_rows(rows, "realtime2="),
+        target,
+        rejected,
+        counters,
+        work_path(spark, "checkpoint"),
+        keep=lambda rows: newer_than(rows, archive, "station_id", "timestamp_tz"),
+    ).awaitTermination()
+    return _fed(spark, target, rejected, counters, text.left(text.part(F.col("filename"), "realtime2=", 2), 5))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +13,7 @@ from shoregrid.functions import moments, text
 from shoregrid.operators.incremental import unseen
 from shoregrid.operators.joins import newer_than
 from shoregrid.operators.sized import join_dimension, written
+from shoregrid.sources.files import COMMENT_ROW
 from shoregrid.sinks.tables import append_new, existing, remove_folder, replace_partitions, subfolders
 
 DAY, BATCH = "_day", "_batch"
@@ -22,21 +25,14 @@ LOOKBACK = f"{LATEST_LOOKBACK_STEPS * 5} minutes"
 def latest_rows(lines: DataFrame) -> DataFrame:
     """Latest-observation lines: station in field 1, time in fields 4 to 8."""
     f = [text.field_at(F.col("line"), i) for i in range(1, 9)]
-    return lines.select(
-        f[0].alias("station_id"),
-        moments.observation_time(*f[3:8]).alias("timestamp_tz"),
-        "line",
-    )
+    return lines.withColumns({"station_id": f[0], "timestamp_tz": moments.observation_time(*f[3:8])})
 
 
 def realtime_rows(lines: DataFrame, marker: str = "realtime2/") -> DataFrame:
     """Per-station realtime lines: station from the file name, time in fields 1 to 5."""
     f = [text.field_at(F.col("line"), i) for i in range(1, 6)]
-    return lines.select(
-        text.left(text.part(F.col("filename"), marker, 2), 5).alias("station_id"),
-        moments.observation_time(*f).alias("timestamp_tz"),
-        "line",
-    )
+    station = text.left(text.part(F.col("filename"), marker, 2), 5)
+    return lines.withColumns({"station_id": station, "timestamp_tz": moments.observation_time(*f)})
 
 
 def availability(now: Column, days: int = REALTIME_DAYS) -> tuple[Column, Column]:
@@ -75,6 +71,67 @@ def ingest_new(
     return _start(stream, load, checkpoint, trigger)
 
 
+def text_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
+    """Lines of text files as they arrive: (filename, value)."""
+    lines = spark.readStream.options(**options).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("filename"), "value")
+
+
+def judged_lines(lines: DataFrame, rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Lines of (filename, value) with what `rows` makes of them and why one cannot be used (`problem`).
+
+    Comments and blank lines are `comment`, lines without a station or a possible time `station` or `time`.
+    """
+    made = rows(lines.select("*", text.fields(F.col("value")).alias("line")))
+    problem = (
+        F.when(F.col("value").rlike(COMMENT_ROW), "comment")
+        .when(F.coalesce("station_id", F.lit("")) == "", "station")
+        .when(F.col("timestamp_tz").isNull(), "time")
+    )
+    return made.withColumn("problem", problem)
+
+
+def ingest_lines(
+    stream: DataFrame,
+    rows: Callable[[DataFrame], DataFrame],
+    target: str,
+    rejected: str,
+    counters: str,
+    checkpoint: str,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Append what can be read of a text feed; lines that cannot go to a side table, and all are counted.
+
+    `rows` is `latest_rows` or `realtime_rows`; `keep` may narrow the readable ones down (as to what is newer than an
+    archive). Rejected lines and counters are written under the batch's number, so a replay writes them once
+    more; readable rows that are stored already are left out. Of each batch,
+    read = comments + rejected + readable lines.
+    """
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        judged = judged_lines(batch, rows)
+        count = lambda condition, name: F.count_if(condition).alias(name)
+        problem, seen = F.col("problem"), Observation(f"lines-{batch_id}")
+        counted = judged.observe(
+            seen,
+            F.count(F.lit(1)).alias("read"),
+            count(problem == "comment", "comments"),
+            count(problem.isin("station", "time"), "rejected"),
+            count(problem.isNull(), "readable"),
+        )
+        bad = counted.where(problem.isin("station", "time")).select("filename", "value", "problem")
+        bad.write.mode("overwrite").parquet(f"{rejected}/{BATCH}={batch_id}")
+        spark = batch.sparkSession
+        numbers = spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in seen.get.items()])
+        numbers.write.mode("overwrite").parquet(f"{counters}/{BATCH}={batch_id}")
+        good = judged.where(problem.isNull()).select("station_id", "timestamp_tz", "line")
+        good = (keep(good) if keep else good).dropDuplicates(["station_id", "timestamp_tz"])
+        append_new(good, target, ["station_id", "timestamp_tz"], _span(good, "timestamp_tz"))
+
+    return _start(stream, load, checkpoint, trigger)
+
+
 def ingest_newer(
     stream: DataFrame,
     archive: DataFrame,
