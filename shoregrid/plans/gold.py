@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoregrid.fixed_values import MATCH_WINDOW_MINUTES
+from shoregrid.functions.grid import cell_of
 from shoregrid.functions.media import photo_time, signed_degrees
 from shoregrid.functions.numbers import round_half_away
 from shoregrid.operators.sized import join_dimension, settled
 from shoregrid.operators.search import make_vector, search_by_media
+from shoregrid.operators.vector_index import VectorIndex, photo_search
 from shoregrid.plans.silver import between
 
 FEATURES = [
@@ -90,3 +93,9 @@ def photos(tags: DataFrame) -> DataFrame:
 def similar_hours(photo_tags: DataFrame, tags: DataFrame, ts: str = "timestamp_tz") -> DataFrame:
     """For each photo the hours with similar conditions."""
     return search_by_media(photos(photo_tags), tags, "photo", "taken", ts, "tag")
+
+
+def photo_conditions(photo_tags: DataFrame, index: VectorIndex, ts: str = "timestamp_tz") -> tuple[DataFrame, DataFrame]:
+    """From a stored index of tags: the hour of each photo, and the hours like each such hour."""
+    taken = photos(photo_tags).select("photo", cell_of(F.col("lon"), F.col("lat")).alias("cell"), "taken")
+    return photo_search(index, taken, "photo", "taken", ts, MATCH_WINDOW_MINUTES)

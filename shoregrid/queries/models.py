@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shoregrid.fixed_values import OBSERVATION_FILLS
+from shoregrid.fixed_values import MATCH_WINDOW_MINUTES, OBSERVATION_FILLS
 from shoregrid.functions import grid
 from shoregrid.functions.moments import truncate
 from shoregrid.functions.numbers import round_half_away
 from shoregrid.operators.search import search_by_media as media_search
 from shoregrid.operators.search import vector_search as search
+from shoregrid.operators.vector_index import VectorIndex, photo_search
+from shoregrid.operators.vector_index import build as build_index
 from shoregrid.plans import bronze, dimensions, gold, registry, silver
 from shoregrid.queries import query
 from shoregrid.queries.inputs import (
@@ -339,6 +341,52 @@ def condition_tags(spark, sf_dir):
     )
 
 
+PHOTO_SQL = f"""
+{TAGS_SQL},
+m AS (
+    SELECT event_id, cell, hour FROM (
+        SELECT p.event_id, t.cell, t.timestamp_tz AS hour,
+               row_number() OVER (PARTITION BY p.event_id
+                   ORDER BY abs(epoch_us(p.ts) - epoch_us(t.timestamp_tz)), t.timestamp_tz) AS rn
+        FROM (SELECT event_id, ts, {cell_sql(LON_SQL, LAT_SQL)} AS cell FROM events) p
+        JOIN tag t ON t.cell = p.cell
+                  AND t.timestamp_tz BETWEEN p.ts - INTERVAL 30 MINUTE AND p.ts + INTERVAL 30 MINUTE)
+    WHERE rn = 1)
+"""
+
+
+def _photo_search(spark, sf_dir):
+    """Events as photos, searched in a stored index of the tags."""
+    user = F.col("user_id")
+    index = VectorIndex(work_path(spark, "tag-index"), "tag")
+    named = tags(spark, sf_dir).withColumn("timestamp_tz", F.col("timestamp_tz").cast(NTZ))
+    build_index(named, index, ["cell", "timestamp_tz"])
+    cell = grid.cell_of(station_lon(user), station_lat(user)).alias("cell")
+    photos = table(spark, sf_dir, "events").select("event_id", cell, "ts")
+    return photo_search(index, photos, "event_id", "ts", "timestamp_tz", MATCH_WINDOW_MINUTES, digits=6)
+
+
+@query(f"WITH {PHOTO_SQL} SELECT event_id, cell, hour AS matched_hour FROM m")
+def photo_hours(spark, sf_dir):
+    """The tag hour nearest to each photo in its cell."""
+    matched, _ = _photo_search(spark, sf_dir)
+    return matched.withColumnRenamed("matched_ts", "matched_hour")
+
+
+@query(f"""
+WITH {PHOTO_SQL}
+SELECT q.cell, q.timestamp_tz AS matched_hour, s.cell AS similar_cell, s.timestamp_tz AS similar_hour,
+       round(sqrt({" + ".join(f"(s.f{i} - q.f{i}) * (s.f{i} - q.f{i})" for i in range(2, 8))}), 6) AS l2_dist
+FROM (SELECT DISTINCT t.* FROM tag t JOIN m ON m.cell = t.cell AND m.hour = t.timestamp_tz) q
+JOIN tag s ON abs(s.f4 - q.f4) < 10 AND abs(s.f7 - q.f7) < 10
+WHERE sqrt({" + ".join(f"(s.f{i} - q.f{i}) * (s.f{i} - q.f{i})" for i in range(2, 8))}) < 10e0
+""")
+def similar_condition_hours(spark, sf_dir):
+    """The hours like those in which photos were taken, each searched once."""
+    _, found = _photo_search(spark, sf_dir)
+    return found.withColumnsRenamed({"matched_ts": "matched_hour", "similar_ts": "similar_hour"})
+
+
 @query(f"""
 SELECT vec_id, round(list_distance(CAST(embedding AS DOUBLE[]), (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 0)), 6) AS l2_dist
 FROM embeddings

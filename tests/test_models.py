@@ -491,3 +491,29 @@ def test_missing_days_are_found_and_filled(spark, tmp_path):
     spark.createDataFrame([(1,)], "cell long").write.parquet(lake.path("coast_cells"))
     ranges = [(a.day, b.day) for a, b in registry.refresh_missing(lake, ["tide_idw"])["tide_idw"]]
     assert ranges == [(2, 7), (10, 12), (21, 22), (1, 2)]
+
+
+def test_index_search_reads_few_tiles_and_finds_all(spark, tmp_path):
+    """A stored index: all rows within the radius, from fewer folders the smaller it is; odd values included."""
+    import math
+    import random
+
+    from shoregrid.operators import vector_index
+
+    draw = random.Random(9)
+    rows = [(i, T(2024, 1, 1), [1.0, *[draw.uniform(0, 5) for _ in range(2)], draw.uniform(-400, 400), 1.0, 2.0, draw.uniform(0, 360)]) for i in range(3000)]
+    rows += [(9000, T(2024, 1, 1), [1.0, 2.0, 3.0, None, 1.0, 2.0, 3.0]), (9001, T(2024, 1, 1), [1.0, None, 3.0, 5.0, 1.0, 2.0, 3.0])]
+    tags = spark.createDataFrame(rows, "cell long, hour timestamp_ntz, tag array<double>")
+    index = vector_index.VectorIndex(str(tmp_path / "index"), "tag")
+    vector_index.build(tags, index, ["cell"])
+    queries = tags.where("cell < 3").selectExpr("cell AS q", "tag")
+    files = []
+    for radius in (3.0, 10.0, 500.0):
+        found = vector_index.similar(index, queries, ["q"], radius)
+        got = {(r.q, r.cell) for r in found.collect()}
+        far = lambda a, b: math.dist(a[1:], b[1:])
+        want = {(q, r[0]) for q in range(3) for r in rows[:3000] if far(rows[q][2], r[2]) < radius}
+        assert got == want and len(want) >= 3
+        files.append(vector_index.tiles_for(index, queries, radius).count())
+    assert files[0] <= files[1] < files[2] / 3
+    assert vector_index.similar(index, queries.where("q < 0"), ["q"], 5.0).count() == 0
