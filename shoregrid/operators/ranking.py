@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -108,3 +110,44 @@ def skip_first(df: DataFrame, order: str, n: int = 1) -> DataFrame:
 def clustered(df: DataFrame, *columns: str) -> DataFrame:
     """Range-partition and sort by the columns, so that file statistics skip well."""
     return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def interleaved(parts: list[Column], bits: int = 16) -> Column:
+    """One number from the bits of several whole numbers below 2^bits, taken in turn: near in all of them is near in it."""
+    n = len(parts)
+    spread_bits = [
+        F.shiftleft(F.shiftright(part.cast("long"), bit).bitwiseAND(F.lit(1)), bit * n + k)
+        for k, part in enumerate(parts)
+        for bit in range(bits)
+    ]
+    return functools.reduce(Column.bitwiseOR, spread_bits)
+
+
+def clustered_by_all(df: DataFrame, columns: list[str], bits: int = 16, parts: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by all number or time columns at once, so files are narrow in each of them.
+
+    A sort by the columns one after the other serves filters on the first only. Each column is scaled to its
+    extent (a scalar subquery); missing values come first.
+    """
+    number = lambda c: F.unix_micros(F.col(c).cast("timestamp")) if "timestamp" in dict(df.dtypes)[c] else F.col(c)
+    ends = df.agg(F.struct(*[f(number(c).cast("double")).alias(f"{e}{i}") for i, c in enumerate(columns) for e, f in (("lo", F.min), ("hi", F.max))]).alias("e"))
+    rows = df.withColumn("_ends", ends.scalar())
+
+    def scaled(i: int, c: str) -> Column:
+        low, high = F.col(f"_ends.lo{i}"), F.col(f"_ends.hi{i}")
+        share = F.try_divide(number(c).cast("double") - low, high - low)
+        return F.floor(F.coalesce(share, F.lit(0.0)) * ((1 << bits) - 1)).cast("long")
+
+    key = interleaved([scaled(i, c) for i, c in enumerate(columns)], bits)
+    placed = rows.withColumn("_key", key).drop("_ends")
+    return placed.repartitionByRange(*([parts] if parts else []), "_key").sortWithinPartitions("_key").drop("_key")
+
+
+def files_touched(stored: DataFrame, ranges: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """(files, touched): of the files behind a table, those whose extents do not rule out rows inside all ranges."""
+    extent = [f(c).alias(f"{e}_{c}") for c in ranges for e, f in (("least", F.min), ("most", F.max))]
+    files = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(*extent)
+    meets = functools.reduce(
+        Column.__and__, [(F.col(f"least_{c}") <= high) & (F.col(f"most_{c}") >= low) for c, (low, high) in ranges.items()]
+    )
+    return files.agg(F.count(F.lit(1)).alias("files"), F.count_if(meets).alias("touched"))

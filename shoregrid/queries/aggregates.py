@@ -22,6 +22,7 @@ from shoregrid.queries.inputs import (
     table,
 )
 from shoregrid.functions.grid import cell_of
+from shoregrid.session import work_path
 
 
 @query("""
@@ -216,6 +217,30 @@ def clustered_rows(spark, sf_dir):
     return ranking.clustered(table(spark, sf_dir, "events").select("user_id", "ts", "value"), "user_id", "ts")
 
 
+@query(f"""
+SELECT count(*) AS n, CAST(sum(CAST(floor(value * 100) AS BIGINT)) FILTER (
+           {cell_sql(LON_SQL, LAT_SQL)} = (SELECT min({cell_sql(LON_SQL, LAT_SQL)}) FROM events)
+           AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11') AS BIGINT) AS total, true AS few_files
+FROM events
+""")
+def clustered_files(spark, sf_dir):
+    """Rows laid out by cell and time at once: one cell's day touches no more files than both cuts together allow."""
+    user = F.col("user_id")
+    cell = cell_of(station_lon(user), station_lat(user)).alias("cell")
+    rows = table(spark, sf_dir, "events").select(cell, "ts", "value")
+    path, parts = work_path(spark, "clustered"), 64
+    ranking.clustered_by_all(rows, ["cell", "ts"], parts=parts).write.parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    first = stored.agg(F.min("cell")).scalar()
+    day = F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-10 23:59:59.999999").cast("timestamp_ntz")
+    touched = ranking.files_touched(stored, {"cell": (first, first), "ts": day})
+    # 64 files are 8 by 8 in cells and times: a cell and a day lie in one column and one row, two at an edge
+    inside = (F.col("cell") == first) & F.col("ts").between(*day)
+    cents = F.floor(F.col("value") * 100).cast("long")
+    sums = stored.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(inside, cents)).alias("total"))
+    return sums.withColumn("few_files", touched.select((F.col("touched") <= 16) & (F.col("files") > 32)).scalar())
+
+
 @query("SELECT c_name AS name FROM customer UNION ALL SELECT s_name FROM supplier")
 def union_all(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
