@@ -666,7 +666,7 @@ def test_large_group_of_near_copies_makes_few_pairs(spark):
     marked = near_copies.marked_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     entries = near_copies.shared_entries(marked)
     sets = near_copies.set_table(marked)
-    first = near_copies.star_pairs(near_copies.parted(entries, None), 0)
+    first = near_copies.star_pairs(near_copies.parted(entries, None))
     links = near_copies.verified(first, sets, marked, Scratch(spark))
     left = near_copies.parted(entries, near_copies.components(links))
     assert near_copies.all_pairs(left).count() < 150 * 149 / 20
