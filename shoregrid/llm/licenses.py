@@ -13,6 +13,7 @@ the texts; templates are a fixed list, so their index is small enough for every
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -75,9 +76,11 @@ def phrase_places(text: str) -> tuple[int, list[int], set[str]]:
     places, labels = [], set()
     for phrase, label in PHRASES.items():
         wanted = f" {phrase} ".encode()
-        at = joined.find(wanted)
+        at, counted, word = joined.find(wanted), 0, 0
         while at >= 0:
-            places.append(joined.count(b" ", 0, at))
+            word += joined.count(b" ", counted, at)
+            counted = at
+            places.append(word)
             labels.add(label)
             at = joined.find(wanted, at + 1)
     return len(found), sorted(places), labels
@@ -195,12 +198,19 @@ def found(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             for span in windows(counts, lengths[number], [not bag.isdisjoint(h) for h in held]):
                 known.setdefault(span, {})[number] = 0.0
         out = []
-        kept: dict[int, list[tuple[int, int, float]]] = {}
+        kept: dict[int, list[tuple[int, int, float]]] = {}  # by first place: only spans that start inside are compared
+        answers: dict[frozenset[bytes], list[tuple[int, float]]] = {}  # repeated notices are matched once
         for (i, j), asked in sorted(known.items(), key=lambda x: (x[0][1] - x[0][0], x[0])):
-            for number, share in matches(frozenset().union(*held[i : j + 1])):
+            bag = held[i] if i == j else frozenset().union(*held[i : j + 1])
+            if bag not in answers:
+                answers[bag] = matches(bag)
+            for number, share in answers[bag]:
+                if number not in asked:
+                    continue
                 smaller = kept.setdefault(number, [])
-                if number in asked and not any(i <= a and b <= j and share <= s for a, b, s in smaller):
-                    smaller.append((i, j, share))
+                inside = smaller[bisect_left(smaller, (i,)) : bisect_left(smaller, (j + 1,))]
+                if not any(b <= j and share <= s for _, b, s in inside):
+                    insort(smaller, (i, j, share))
                     out.append((listed[number][1], numbers[i], share))
         return out
 
