@@ -34,6 +34,8 @@ FRAME_BYTES = 1 << 18
 END_ID = 1
 LEVEL = 3
 FRAMES_PER_TASK = 64
+MAX_TASKS = 10_000
+"""Tasks that the reading is dealt to at most; beyond it a task reads several ranges."""
 SUFFIX = ".tok.zst"
 
 # Fixed values of the public frame formats.
@@ -173,15 +175,18 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document of the files: doc_id, start (tokens of all documents before it), ids, file, frame.
 
-    Work is dealt out by ranges of frames. The running sum over files is one row per file.
+    Work is dealt out by ranges of FRAMES_PER_TASK frames, one a task up to MAX_TASKS tasks. The running sum over
+    files is one row per file.
     """
     ready(manifest.sparkSession)
+    ranges = manifest.agg(F.sum(F.ceil(F.col("frames") / FRAMES_PER_TASK))).first()[0] or 0
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     work = manifest.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
     work = work.select(
         "file", "base", "frames", F.explode(F.sequence(F.lit(0), F.col("frames") - 1, F.lit(FRAMES_PER_TASK))).alias("at")
     )
-    work = work.repartition(F.col("file"), F.col("at"))
+    # with a number, so that adaptive execution does not merge the few small rows into one task
+    work = work.repartition(max(1, min(int(ranges), MAX_TASKS)), "file", "at")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, base = fs.FileSystem.from_uri(folder)
