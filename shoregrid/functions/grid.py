@@ -17,6 +17,7 @@ from shoregrid.fixed_values import EARTH_RADIUS_M
 PER_DEGREE = 2
 COLUMNS = 360 * PER_DEGREE
 ROWS = 180 * PER_DEGREE
+TILE = 16
 
 
 def point(lon: Column, lat: Column) -> Column:
@@ -61,6 +62,12 @@ def cell_col(cell: Column) -> Column:
     return F.pmod(cell, F.lit(COLUMNS)).cast("long")
 
 
+def tile(cell: Column) -> Column:
+    """Number of the square of TILE by TILE cells that a cell lies in."""
+    across = COLUMNS // TILE
+    return F.floor(cell_row(cell) / F.lit(float(TILE))) * across + F.floor(cell_col(cell) / F.lit(float(TILE)))
+
+
 def centre_lon(cell: Column) -> Column:
     return (cell_col(cell) + 0.5) / PER_DEGREE - 180.0
 

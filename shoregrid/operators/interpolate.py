@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoregrid.functions import grid
 from shoregrid.functions.moments import nearest_hour
 from shoregrid.functions.numbers import round_half_away, sentinel_to_null
-from shoregrid.operators.sized import fits_broadcast, join_dimension, settled, written
+from shoregrid.operators.sized import broadcast_limit, fits_broadcast, join_dimension, settled
 
 
 NEAR_GROWTH = 25
@@ -63,9 +64,8 @@ def idw(
 
     Readings of one station and time are summed up before they are handed to the up to 25 cells
     around it (sums commute with the weights), then laid out by time. As the final grouping
-    contains the time, the 25-fold rows are aggregated where they arise and never shuffled,
-    provided the station table can be broadcast. If it cannot, the summed readings are written once:
-    the join then reads them twice, to find stations that have very many and to spread these.
+    contains the time, the 25-fold rows are aggregated where they arise and never shuffled.
+    If the station table cannot be broadcast, `by_tiles` hands the sums to the tiles around a station instead.
     """
     parts: list[Column] = []
     for c in channels:
@@ -85,12 +85,15 @@ def idw(
         )
     else:
         slim = readings.groupBy(station, ts).agg(F.count(F.lit(1)).alias("_all"), *parts)
-    links = settled(near.select(station, "cell", "dist", "weight"), "near", growth=NEAR_GROWTH)
+    links = near.select(station, "cell", "dist", "weight")
+    if broadcast_limit(near.sparkSession) > 0:
+        links = settled(links, "near", growth=NEAR_GROWTH)
+    keys = ["cell", ts]
     if fits_broadcast(links):
-        slim = slim.repartition(ts)
+        spread_out = join_dimension(slim.repartition(ts), links, [station])
     else:
-        slim = written(slim, "readings")
-    spread_out = join_dimension(slim, links, [station])
+        spread_out = by_tiles(slim, links, station, ts)
+        keys = ["_tile", *keys]
 
     def result(c: str) -> Column:
         exact = F.max(F.when(F.col("dist") == 0, F.col(f"_max_{c}")))
@@ -99,4 +102,23 @@ def idw(
         mean = F.try_divide(F.sum(F.col("weight") * F.col(f"_sum_{c}")), weights)
         return round_half_away(F.coalesce(exact, mean), digits).alias(f"{prefix}{c}")
 
-    return spread_out.groupBy("cell", ts).agg(*[result(c) for c in channels])
+    return spread_out.groupBy(*keys).agg(*[result(c) for c in channels]).drop("_tile")
+
+
+def by_tiles(slim: DataFrame, links: DataFrame, station: str, ts: str) -> DataFrame:
+    """The readings of `slim` at every cell of `links`, laid out by (`_tile`, time).
+
+    A tile is a square of cells (other ids than whole numbers: the cell itself). A station's links are packed into one
+    row per tile, its own and those within two cells of it, so a reading is sent to 1.6 tiles on average and four
+    at most, in place of 25 cells, and unfolds where its tile is aggregated: grouping by (`_tile`, cell, time) needs no
+    further shuffle, and there are as many groups of work as tiles times times. Nothing is counted or
+    written beforehand. A station with very many times is split by the adaptive skew join, as the sums of a station meet
+    no more than its few packed rows.
+    """
+    whole = dict(links.dtypes)["cell"] in ("tinyint", "smallint", "int", "bigint")
+    tile = grid.tile(F.col("cell")) if whole else F.col("cell")
+    packed = links.groupBy(station, tile.alias("_tile")).agg(
+        F.collect_list(F.struct("cell", "dist", "weight")).alias("_links")
+    )
+    handed = join_dimension(slim, packed, [station], even=True).repartition("_tile", ts)
+    return handed.select("_tile", *slim.columns, F.inline("_links"))

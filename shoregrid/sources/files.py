@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +19,12 @@ WIND_INDEX = (
 )
 POSITIONAL = "year int, month int, day int, hour int, reading_mm long"
 
+LISTED_ROWS = 10_000
+"""Files of one batch of a listing."""
+_LISTED = pa.schema(
+    [("path", pa.string()), ("modified", pa.timestamp("us", "UTC")), ("length", pa.int64()), ("folder", pa.bool_())]
+)
+
 ARCHIVE_ROW = r"^\s*[0-9]"
 """Archive files: headers start with letters or '#', observations with the year."""
 COMMENT_ROW = r"^\s*(#|$)"
@@ -63,15 +74,68 @@ def read_union_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
-def list_files(spark: SparkSession, base: str, pattern: str = "*") -> DataFrame:
-    """File listing as a table (path, modified, length); file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(base)
-        .select("path", F.col("modificationTime").alias("modified"), "length")
+def list_files(spark: SparkSession, base: str, pattern: str = "*", levels: int = 2) -> DataFrame:
+    """File listing as a table (path, modified, length); file contents are not read.
+
+    Tasks do the listing: the driver holds the base folder only. Each of the first `levels` levels of folders is
+    dealt out anew, so that the folders found there are spread over all tasks; what lies deeper is walked
+    folder by folder by the task that was dealt its parent. Every folder is listed once. Names that start with a
+    dot or an underscore are left out, save partition folders. `pattern` (`*`, `?`, `[...]`) is matched with the
+    file's name. An empty folder gives no rows, a missing one fails. Tasks list through `pyarrow.fs`.
+    """
+    scheme, mark, _ = base.partition("://")
+    local = not mark
+    root = base.removeprefix("file:") if local else base
+    reached = f"s3{mark}{base[len(scheme) + len(mark) :]}" if scheme in ("s3a", "s3n") else root
+
+    def lister(deep: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            system, start = fs.FileSystem.from_uri(reached)
+            start = start.rstrip("/")
+
+            def children(folder: str) -> list[dict]:
+                found = []
+                for info in system.get_file_info(fs.FileSelector(start + folder)):
+                    name = info.base_name
+                    if name.startswith(".") or (name.startswith("_") and "=" not in name):
+                        continue
+                    row = {"path": f"{folder}/{name}", "modified": None, "length": None, "folder": True}
+                    if info.type == fs.FileType.File:
+                        if not fnmatch.fnmatchcase(name, pattern):
+                            continue
+                        row |= {"modified": info.mtime, "length": info.size, "folder": False}
+                    found.append(row)
+                return found
+
+            for batch in batches:
+                waiting = []
+                for row in batch.to_pylist():
+                    if row["folder"]:
+                        waiting.append(row["path"])
+                    else:
+                        yield pa.RecordBatch.from_pylist([row], schema=_LISTED)
+                while waiting:
+                    found = children(waiting.pop())
+                    if deep:
+                        waiting += [r["path"] for r in found if r["folder"]]
+                        found = [r for r in found if not r["folder"]]
+                    for at in range(0, len(found), LISTED_ROWS):
+                        yield pa.RecordBatch.from_pylist(found[at : at + LISTED_ROWS], schema=_LISTED)
+
+        return run
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    schema = "path string, modified timestamp, length long, folder boolean"
+    rows = spark.range(1).select(
+        F.lit("").alias("path"), F.lit(None).cast("timestamp").alias("modified"),
+        F.lit(None).cast("long").alias("length"), F.lit(True).alias("folder"),
     )
+    for level in range(levels + 1):
+        if level:  # with a number, so that adaptive execution does not merge few small rows into one task
+            rows = rows.repartition(tasks, "path")
+        rows = rows.mapInArrow(lister(level == levels), schema)
+    shown = ("file:" if local else "") + root.rstrip("/")
+    return rows.select(F.concat(F.lit(shown), "path").alias("path"), "modified", "length")
 
 
 def landed_partitions(files: DataFrame, keys: list[str]) -> DataFrame:

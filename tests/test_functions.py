@@ -1,13 +1,15 @@
 """Column expressions and operators on small inputs with answers worked out by hand."""
 
 import math
-from datetime import datetime
+from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shoregrid.functions import arrays, grid, media, moments, numbers, text, wind
 from shoregrid.operators import audit, incremental, interpolate, joins, ranking, search, sized, spatial
+from shoregrid.sources import files
 
 T = datetime
 
@@ -379,3 +381,64 @@ def test_duplicates(spark):
 
 def test_skip_first(spark):
     assert sorted(r.id for r in ranking.skip_first(spark.range(4).toDF("id"), "id").collect()) == [1, 2, 3]
+
+
+def test_interpolation_by_tiles_equals_broadcast_and_writes_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    cells = spark.createDataFrame([(int(r * 720 + c),) for r in range(90, 130) for c in range(40)], "cell long")
+    places = [(f"s{k}", float(rng.uniform(-180, -160)), float(rng.uniform(-45, -25))) for k in range(60)]
+    stations = spark.createDataFrame(places, "station string, lon double, lat double")
+    stations = stations.withColumn("station_cell", grid.cell_of(F.col("lon"), F.col("lat")))
+    near = spatial.disk_join(cells, stations, "station")
+    start = datetime(2024, 1, 1)
+    rows = []
+    for k in range(3000):  # half of the rows are of one station, some values are missing, some rows repeat
+        name = "s0" if k % 2 else f"s{int(rng.integers(60))}"
+        value = None if k % 7 == 0 else float(rng.integers(100))
+        rows += [(name, start + timedelta(hours=int(rng.integers(50))), value)] * (2 if k % 11 == 0 else 1)
+    readings = spark.createDataFrame([*rows, (None, start, 1.0), ("elsewhere", start, 1.0)], "station string, ts timestamp, v double")
+
+    def run(links=near):
+        return {(r.cell, r.ts): r.idw_v for r in interpolate.idw(links, readings, "station", "ts", ["v"]).collect()}
+
+    want = run()
+    assert want
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        monkeypatch.setattr(interpolate, "settled", None)  # nothing may be written
+        assert run() == want
+        named = near.withColumn("cell", F.concat(F.lit("c"), "cell"))
+        assert {(int(c[1:]), t): v for (c, t), v in run(named).items()} == want
+        assert interpolate.idw(near.limit(0), readings, "station", "ts", ["v"]).count() == 0
+        frame = interpolate.idw(near, readings, "station", "ts", ["v"])
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        last = plan[: plan.index("Generate")]
+        assert "Exchange" not in last, "the unfolded rows must be aggregated where they arise"
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_tiles_hold_squares_of_cells(spark):
+    rows = spark.createDataFrame([(r * 720 + c, r // 16 * 45 + c // 16) for r in (0, 15, 16, 359) for c in (0, 15, 16, 719)], "cell long, want long")
+    assert rows.where(grid.tile(F.col("cell")) != F.col("want")).count() == 0
+
+
+@pytest.mark.parametrize("levels", [0, 1, 2, 4])
+def test_listing_by_tasks_equals_the_file_index(spark, tmp_path, levels):
+    for name in ("a.txt", "day=1/b.txt", "day=1/c.csv", "day=1/deep/er/d.txt", "_day=2/e.txt", "_tmp/f.txt", ".g.txt", "x y/h%3A.txt"):
+        path = tmp_path / "lake" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(name)
+    (tmp_path / "lake" / "empty").mkdir()
+    base = f"{tmp_path}/lake"
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    for pattern in ("*", "*.txt", "[ab].???"):
+        index = read.option("pathGlobFilter", pattern).load(base).select("path", "modificationTime", "length")
+        want = sorted((r.path, r.length, r.modificationTime.replace(microsecond=0)) for r in index.collect())
+        found = files.list_files(spark, base, pattern, levels).collect()
+        assert sorted((r.path, r.length, r.modified.replace(microsecond=0)) for r in found) == want
+    assert files.list_files(spark, f"{base}/empty").count() == 0
+    with pytest.raises(Exception, match="missing"):
+        files.list_files(spark, f"{base}/missing").count()
