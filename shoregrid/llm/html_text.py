@@ -2,7 +2,8 @@
 
 Each page scores its containers by the text of the blocks in them. The best ones vote for their
 tag-class paths (numbers in class names left out), Spark adds the votes up per host, and the pages of a host are
-extracted again with the paths that won there. A page that has none of them uses its own best one.
+extracted again with the paths that won there. A page that has none of them uses its own best one. What stands
+beside the winning container in the nearest one around it (heading, lead, further parts) comes along.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ DEEPEST = 64
 
 # Kinds of elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript template iframe svg math select".split())
+_RAW = frozenset("script style title textarea noscript template iframe svg select".split())
 _DROPPED = _RAW | frozenset("head nav header footer aside form button object audio video canvas dialog menu".split())
 _CONTAINERS = frozenset("html body main article section div td center".split())
 _BLOCKS = _CONTAINERS | frozenset(
@@ -43,7 +44,10 @@ _HINTS = frozenset(
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 _NOT_HINTS = frozenset(["no", "has", "with", "without"])
+_OF_ARTICLE = frozenset(["entry", "post", "article", "story", "content"])
+"""A header named after one of these holds the heading of the text, not that of the site."""
 _WHOLE = frozenset(["html", "body", "main"])
+_PAGE = ("", "html", "body")
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
@@ -61,17 +65,27 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
     """Is the element a menu, notice, advert or the like, by its kind, role or names?"""
-    if tag in _DROPPED or "hidden" in attributes or attributes.get("role", "").lower() in _ROLES:
+    named = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    names = [[w.lower() for w in _WORDS.findall(name)] for name in named]
+    own = any(len(parts) > 1 and parts[0] in _OF_ARTICLE and parts[-1] == "header" for parts in names)
+    dropped = tag in _DROPPED and not (tag == "header" and own)
+    if dropped or "hidden" in attributes or attributes.get("role", "").lower() in _ROLES:
         return tag not in _WHOLE
     if tag in _WHOLE:
         return False
-    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-        parts = [w.lower() for w in _WORDS.findall(name)]
+    for parts in names:
+        if own and parts[-1:] == ["header"]:
+            continue
         if parts and parts[0] not in _NOT_HINTS and (parts[0] in _HINTS or parts[-1] in _HINTS):
             return True
     return False
 
 
+def _last(path: str) -> str:
+    """Tag of the innermost container of a path."""
+    return path.rpartition("/")[2].partition(".")[0]
+
+
 def lifted(path: str) -> str:
     """The path of the article (or else main) element around a container, which holds headings beside it too."""
     parts = path.split("/")
@@ -88,6 +102,7 @@ class Page:
     def __init__(self, source: str) -> None:
         self.paths, self.parents = [""], [-1]
         self.blocks: list[tuple[str, int]] = []
+        self.links: list[int] = []  # per block, how much of it is in links
         self.scores: dict[str, float] = {}
         self.stack: list[tuple[str, int, bool]] = []  # tag, container, inside something unwanted
         self.pending: list[str] = []
@@ -126,6 +141,7 @@ class Page:
         if text:
             node = self._top()[1]
             self.blocks.append((text, node))
+            self.links.append(min(self.linked, len(text)))
             worth = max(0.0, len(text) - 2.0 * self.linked)
             for share in (1.0, 0.5):
                 if node >= 0:
@@ -189,16 +205,53 @@ class Page:
         return [(p, s / total) for p, s in best if s > 0]
 
     def text(self, winners: list[str]) -> str:
-        """The blocks in the first of the winning paths that is here, or else in the page's own best path."""
+        """The blocks in the first of the winning paths that is here, or else in the page's own best path.
+
+        The whole page wins only where nothing in it does better. What `extended` adds belongs to the text too.
+        """
         if not self.scores:
             return ""
         own = min(self.scores, key=lambda p: (-self.scores[p], p))
-        chosen = next((p for p in winners if p in self.scores), own)
-        inside = [False] * len(self.paths)
-        for k, path in enumerate(self.paths):  # parents come before their children
-            inside[k] = path == chosen or (self.parents[k] >= 0 and inside[self.parents[k]])
+        chosen = next((p for p in winners if p in self.scores and _last(p) not in _PAGE), own)
+        inside = self._below({k for k, path in enumerate(self.paths) if path == chosen})
+        if _last(chosen) not in (*_PAGE, "article", "main"):
+            inside = self._below(self.extended(inside))
         return "\n".join(text for text, node in self.blocks if inside[node])
 
+    def _below(self, tops: set[int]) -> list[bool]:
+        inside = [False] * len(self.paths)
+        for k, parent in enumerate(self.parents):  # parents come before their children
+            inside[k] = k in tops or (parent >= 0 and inside[parent])
+        return inside
+
+    def extended(self, inside: list[bool]) -> set[int]:
+        """For each outermost container inside, the nearest one around it that adds blocks, mostly not links, or else itself.
+
+        Heading, lead and sibling parts often stand beside the container that holds most of the text.
+        The whole page is never one of these.
+        """
+        added, linked = [0] * len(self.paths), [0] * len(self.paths)
+        for (text, node), links in zip(self.blocks, self.links):
+            if not inside[node]:
+                added[node] += len(text)
+                linked[node] += links
+        for k in range(len(self.paths) - 1, 0, -1):
+            added[self.parents[k]] += added[k]
+            linked[self.parents[k]] += linked[k]
+        around: dict[int, int] = {}  # the extension by the container above, as many share it
+        tops = set()
+        for k, parent in enumerate(self.parents):
+            if not inside[k] or (parent >= 0 and inside[parent]):
+                continue
+            if parent not in around:
+                at = parent
+                while at > 0 and _last(self.paths[at]) not in _PAGE and not added[at]:
+                    at = self.parents[at]
+                good = at > 0 and _last(self.paths[at]) not in _PAGE and 2 * linked[at] <= added[at]
+                around[parent] = at if good else -1
+            tops.add(around[parent] if around[parent] >= 0 else k)
+        return tops
+
 
 def winners(pages: DataFrame) -> DataFrame:
     """(host, paths): the paths that won at each host, most votes first; counted with partial sums, so a large host is no hot spot."""
@@ -228,7 +281,7 @@ def _host() -> Column:
 def extracted(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text (blocks joined by line feeds), n_chars.
 
-    A page without text, and null html, give an empty text. Null and strange addresses form one host of
+    A page without text, and null html, give an empty text; very long pages are read whole. Null and strange addresses form one host of
     their own. Repeated rows and null ids stay. Other columns are not read.
     """
     ready(pages.sparkSession)

@@ -4,6 +4,7 @@ import html
 import io
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -671,3 +672,52 @@ def test_large_group_of_near_copies_makes_few_pairs(spark):
     left = near_copies.parted(entries, near_copies.components(links))
     assert near_copies.all_pairs(left).count() < 150 * 149 / 20
     assert near_copies.representatives(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == 1
+
+
+@pytest.mark.parametrize("widths", [(3, 300), (40, 40)])
+def test_what_stands_beside_the_winning_container_comes_along(spark, widths):
+    lead, body = (" ".join(["word"] * n) for n in widths)
+    post = f'<div class="post"><h1>Title</h1><div class="intro">{lead}</div><div class="entry"><p>{body}</p></div></div>'
+    table = f"<div class='body'><p>First {lead}.</p><table><tr><td>{body}</td><td>{body}</td></tr></table><p>Last.</p></div>"
+    side = '<div class="extra"><a href="/a">One linked line that stands outside</a></div>'
+    formula = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p></article>"
+    named = f'<article><div class="entry-header"><h1>Title</h1></div><header class="post-header">By A</header><p>{body}</p></article>'
+    site = f'<div class="site-header">Name of the site</div><article><p>{body}</p></article>'
+    pages = {
+        "posts": (post, f"Title\n{lead}\n{body}"), "beside": (post + side, f"Title\n{lead}\n{body}"),
+        "tables": (table, f"First {lead}.\n{body}\n{body}\nLast."), "formulas": (formula, "Let x=1 hold."),
+        "named": (named, f"Title\nBy A\n{body}"), "sites": (site, body),
+    }
+    rows = [(i, f"http://{host}.example/{k}", f"<html><body><nav>Menu</nav>{source}</body></html>") for i, (host, (source, _)) in enumerate(pages.items()) for k in range(3)]
+    got = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    wanted = [text for _, text in pages.values()]
+    assert len(got) == len(rows) and all(r.text == wanted[r.page_id] for r in got)
+
+
+def test_whole_page_wins_only_where_nothing_in_it_does_better(spark):
+    rows = [(k, "http://mixed.example/", f"<body><p>{'loose text ' * 30}</p></body>") for k in range(5)]
+    rows.append((9, "http://mixed.example/", f"<body><p>Small print</p><div class='main-text'><p>{'body text ' * 30}</p></div></body>"))
+    got = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == ("loose text " * 30).strip() and got[9] == ("body text " * 30).strip()
+
+
+def test_token_files_are_read_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FRAMES_PER_TASK", 1)
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("word "), "id"), 400).alias("text"))
+    folder = token_files.folder(spark)
+    manifest = token_files.write(docs.coalesce(1), queries.WORD_TOKENIZER, folder)
+    frames = manifest.agg(F.sum("frames")).first()[0]
+    found = token_files.read(manifest, folder)
+    assert frames > 1 and found.rdd.getNumPartitions() == frames
+    assert sorted(r.doc_id for r in found.select("doc_id").collect()) == list(range(300))
+
+
+def test_licences_in_very_long_texts_take_time_in_proportion(spark):
+    notices = [text for texts in licenses.TEMPLATES.values() for text in texts]
+    rows = [(n, "\n".join([notices[0]] * n)) for n in (1, 3, 20_000)] + [(0, "mit license " * 100_000)]
+    start = time.monotonic()
+    got = {r.doc_id: r for r in licenses.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.monotonic() - start < 60
+    for n in (1, 3, 20_000):  # each line matches, no wider block adds anything
+        assert [m.line for m in got[n].matches] == list(range(n)) and got[n].score == 1
+    assert (got[0].n_base, got[0].first_word, got[0].last_word) == (100_000, 0, 199_998)
