@@ -97,15 +97,17 @@ def join_dimension(
     `residual` is a further condition over columns of both sides, whose other names must differ.
     `even=True` says that keys hardly repeat in `fact` or that it is costly to compute: it is then
     not counted beforehand, and partitions that turn out large are split by the adaptive skew join.
+    A `dim` with `growth` that does not fit is never broadcast: the planner, at run time too, sees it before it grows.
     `null_safe=True` lets a missing key equal a missing key; it needs `even`.
     """
     fact_cols = fact.columns
+    sorted_side = (lambda d: d.hint("merge")) if growth > 1 else (lambda d: d)
     if fits_broadcast(dim, growth):
         left, right, keys = fact, dim, on
         wrap = F.broadcast
     elif even:
         left, right, keys = fact, dim, on
-        wrap = lambda d: d
+        wrap = sorted_side
     else:
         ways = max(2, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
         hot = F.broadcast(hot_keys(fact, on, hot_rows))
@@ -133,7 +135,7 @@ def join_dimension(
             .drop("_ways")
         )
         keys = [*on, "_salt"]
-        wrap = lambda d: d
+        wrap = sorted_side
     renamed = right.withColumnsRenamed({k: f"_dim_{k}" for k in keys})
     equal = Column.eqNullSafe if null_safe else Column.__eq__
     condition = functools.reduce(operator.and_, [equal(F.col(k), F.col(f"_dim_{k}")) for k in keys])
