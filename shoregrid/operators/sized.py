@@ -62,6 +62,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """The rows in tasks of about so many each, for costly work per row on tables in few or small files."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def hot_keys(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame:
     """Keys of at least `rows` rows with `_ways`, the tasks that they are worth (one for each so many rows).
 

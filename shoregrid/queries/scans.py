@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoregrid.functions import text
-from shoregrid.operators.sized import join_dimension
+from shoregrid.operators.sized import dealt, join_dimension
 from shoregrid.queries import query
 from shoregrid.queries.inputs import padded_sql, table
 from shoregrid.session import work_path
@@ -13,6 +13,9 @@ from shoregrid.sinks import tables
 from shoregrid.sources import documents, files, gridded
 
 
+PAGES_A_TASK = 10_000
+
+
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def dimension_scan(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -152,7 +155,8 @@ def html_tables(spark, sf_dir):
 <TABLE class="list"><tr><th>Name</th><th>Brand</th><th>Size</th></tr>
 <tr><td><a href="%s">%s</a></td><td>%s</td><td>%d</td></tr>
 <tr><td>%s<td>%s<td>n/a &amp;  more</tr></TABLE></body></html>"""
-    pages = table(spark, sf_dir, "part").select(
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size", "p_type")
+    pages = dealt(parts, PAGES_A_TASK).select(
         "p_partkey",
         F.format_string(
             page, "p_name", "p_name", "p_brand", "p_size", F.upper("p_name"), F.col("p_type")

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from shoregrid.operators.sized import join_dimension
+from shoregrid.operators.sized import dealt, join_dimension
+from shoregrid.queries import scans
 
 
 def test_a_side_that_grows_is_not_broadcast(spark, tmp_path):
@@ -16,3 +17,15 @@ def test_a_side_that_grows_is_not_broadcast(spark, tmp_path):
         joined.collect()
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin [k" in plan.split("Initial Plan")[0]
+
+
+def test_pages_are_dealt_to_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    assert dealt(spark.range(25).coalesce(1), 10).rdd.getNumPartitions() == 3
+    parts = spark.range(20).selectExpr(
+        "id AS p_partkey", "'a' AS p_name", "'b' AS p_brand", "'t' AS p_type", "CAST(1 AS INT) AS p_size", "1D AS p_retailprice"
+    )
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(scans, "PAGES_A_TASK", 5)
+    found = scans.html_tables(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 4
+    assert found.count() == 40
