@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoregrid.functions import grid
-from shoregrid.functions.moments import nearest_hour
+from shoregrid.functions.moments import micros, nearest_hour
 from shoregrid.functions.numbers import round_half_away, sentinel_to_null
 from shoregrid.operators.sized import broadcast_limit, fits_broadcast, join_dimension, settled
 
 
 NEAR_GROWTH = 25
 """A station is near up to this many cells; planner estimates do not see that."""
+CHUNK_DAYS = 8
+CHUNK_ROWS = 256
+"""`by_tiles` sends up to so many readings of a station and chunk of days together."""
 
 
 def hourly_mean(
@@ -93,7 +97,7 @@ def idw(
         spread_out = join_dimension(slim.repartition(ts), links, [station])
     else:
         spread_out = by_tiles(slim, links, station, ts)
-        keys = ["_tile", *keys]
+        keys = ["_tile", "_chunk", *keys]
 
     def result(c: str) -> Column:
         exact = F.max(F.when(F.col("dist") == 0, F.col(f"_max_{c}")))
@@ -102,23 +106,34 @@ def idw(
         mean = F.try_divide(F.sum(F.col("weight") * F.col(f"_sum_{c}")), weights)
         return round_half_away(F.coalesce(exact, mean), digits).alias(f"{prefix}{c}")
 
-    return spread_out.groupBy(*keys).agg(*[result(c) for c in channels]).drop("_tile")
+    return spread_out.groupBy(*keys).agg(*[result(c) for c in channels]).drop("_tile", "_chunk")
+
+
+def in_lists(slim: DataFrame, station: str, ts: str) -> DataFrame:
+    """(station, _chunk, _rows): the readings of a station and chunk of days in lists of CHUNK_ROWS at most."""
+    chunk = F.floor(micros(F.col(ts)) / F.lit(CHUNK_DAYS * 86_400_000_000)).alias("_chunk")
+    place = F.row_number().over(Window.partitionBy(station, "_chunk").orderBy(ts))
+    parts = slim.select("*", chunk).withColumn("_part", F.floor((place - 1) / F.lit(CHUNK_ROWS)))
+    rows = F.collect_list(F.struct(*[c for c in slim.columns if c != station])).alias("_rows")
+    return parts.groupBy(station, "_chunk", "_part").agg(rows).drop("_part")
 
 
 def by_tiles(slim: DataFrame, links: DataFrame, station: str, ts: str) -> DataFrame:
-    """The readings of `slim` at every cell of `links`, laid out by (`_tile`, time).
+    """The readings of `slim` at every cell of `links`, laid out by (`_tile`, `_chunk`).
 
     A tile is a square of cells (other ids than whole numbers: the cell itself). A station's links are packed into one
     row per tile, its own and those within two cells of it, so a reading is sent to 1.6 tiles on average and four
-    at most, in place of 25 cells, and unfolds where its tile is aggregated: grouping by (`_tile`, cell, time) needs no
-    further shuffle, and there are as many groups of work as tiles times times. Nothing is counted or
-    written beforehand. A station with very many times is split by the adaptive skew join, as the sums of a station meet
-    no more than its few packed rows.
+    at most, in place of 25 cells, and unfolds where its tile is aggregated: grouping by (`_tile`, `_chunk`, cell, time)
+    needs no further shuffle, and there are as many groups of work as tiles times chunks of CHUNK_DAYS days. A packed row
+    is longer than many readings, so readings travel as lists, up to CHUNK_ROWS of a station and chunk with one packed
+    row. Nothing is counted or written beforehand. A station with very many times is split by the adaptive skew
+    join, as the lists of a station meet no more than its few packed rows.
     """
     whole = dict(links.dtypes)["cell"] in ("tinyint", "smallint", "int", "bigint")
     tile = grid.tile(F.col("cell")) if whole else F.col("cell")
     packed = links.groupBy(station, tile.alias("_tile")).agg(
         F.collect_list(F.struct("cell", "dist", "weight")).alias("_links")
     )
-    handed = join_dimension(slim, packed, [station], even=True).repartition("_tile", ts)
-    return handed.select("_tile", *slim.columns, F.inline("_links"))
+    handed = join_dimension(in_lists(slim, station, ts), packed, [station], even=True).repartition("_tile", "_chunk")
+    each = handed.select("_tile", "_chunk", station, "_links", F.inline("_rows"))
+    return each.select("_tile", "_chunk", *slim.columns, F.inline("_links"))

@@ -420,6 +420,15 @@ def test_interpolation_by_tiles_equals_broadcast_and_writes_nothing(spark, monke
         spark.conf.set(key, old)
 
 
+def test_readings_travel_in_lists(spark):
+    """A packed row of links goes with many readings, not with each."""
+    hours = spark.range(1000).select(F.lit("s").alias("station"), (F.lit(datetime(2024, 1, 1)) + F.make_interval(hours="id")).alias("ts"), "id")
+    minutes = spark.range(1000).select(F.lit("t").alias("station"), (F.lit(datetime(2024, 1, 1)) + F.make_interval(mins="id")).alias("ts"), "id")
+    lists = interpolate.in_lists(hours.union(minutes), "station", "ts").collect()
+    assert len(lists) <= 16 and max(len(r["_rows"]) for r in lists) <= interpolate.CHUNK_ROWS
+    assert sorted((r.station, x.id) for r in lists for x in r["_rows"]) == [(s, i) for s in "st" for i in range(1000)]
+
+
 def test_tiles_hold_squares_of_cells(spark):
     rows = spark.createDataFrame([(r * 720 + c, r // 16 * 45 + c // 16) for r in (0, 15, 16, 359) for c in (0, 15, 16, 719)], "cell long, want long")
     assert rows.where(grid.tile(F.col("cell")) != F.col("want")).count() == 0
