@@ -1,13 +1,17 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and the groups they form.
 
-An exact join with a prefix filter. All shingles are put into one order, those common in a sample last; two sets
+SimHash comes first: sets whose 64-bit fingerprints over these shingles differ in at most two bits, found by the
+tables of `simhash`, are compared in full and grouped if they are similar. Similar sets can differ in more
+bits than tables can look up (11 on sf0.1, where 2 bits reach 1 of 48 links), so an exact join with a
+prefix filter finds the links that are left. All shingles are put into one order, those common in a sample last; two sets
 this similar share one of the first fifth of either. Texts that share such a shingle are candidates if their
 sizes and its places leave room for enough common shingles (length and positional filters), if their prefixes share
 as many as that takes, and if the sketches of their sets, counts by hash bucket, differ by no more than sets so
-similar can. What is left is compared in full.
+similar can. Parities of smaller buckets, four longs, go with each shingle, so sets that share a passage
+but little else are parted inside the join already. What is left is compared in full.
 The order decides only how many candidates there are, so the sample loses no link.
 
-Texts with equal sets are folded first. Before all candidates are listed, every shingle links the texts that hold
+Texts with equal sets are folded first. Before all candidates are listed, fingerprints link sets, every shingle links the texts that hold
 it to one of them, then every set to the best ones outside its group, and what is thereby in one group is not paired
 again: a large group of near copies is mostly joined before its pairs are listed. Sets that share much of their prefixes
 without being similar, or that are linked in none of these turns, are still compared pair by pair, as the result is exact.
@@ -16,6 +20,7 @@ without being similar, or that are linked in none of these turns, are still comp
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from shoregrid.llm import simhash
 from shoregrid.llm.common import Scratch, ready, release, words, written
 from shoregrid.llm.components import components
 
@@ -34,8 +40,10 @@ SAMPLED = 64
 """One text of so many (by hash) is sampled for common shingles."""
 MAX_COMMON = 100_000
 BUCKETS = 128
+PARITIES = tuple(f"p{i}" for i in range(4))
+"""Longs that hold whether a set has an odd number of shingles in each of 64 buckets."""
 BEST = 8
-TURNS = ("star", "best", "best", "all")
+TURNS = ("simhash", "star", "best", "all")
 """How candidates are chosen, one turn after the other; the last one takes all that are left."""
 PAIR_ROWS = 16
 """Pairs of one Arrow batch: each has two whole sets."""
@@ -74,6 +82,13 @@ def sketch(found: np.ndarray) -> bytes:
     return np.minimum(np.bincount(found & (BUCKETS - 1), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
 
 
+def parities(found: np.ndarray) -> list[int]:
+    """Is the number of a set's shingles in each bucket odd? Two sets differ in at least as many as these bits do."""
+    n = 64 * len(PARITIES)
+    odd = np.bincount(found >> 8 & (n - 1), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of three or more sampled texts, and their ranks from 1 on, the most common last; at most MAX_COMMON."""
 
@@ -90,7 +105,7 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marked_rows(docs: DataFrame) -> DataFrame:
-    """(row, _class, _size, _prefix, _sketch, _row): the row, a hash of its set, what is known of the set, a number; written once."""
+    """(row, _class, _size, _prefix, _sketch, _fp, p0.., _row): the row, a hash of its set, what is known of the set, a number; written once."""
     ready(docs.sparkSession)
     common, ranks = common_shingles(docs)
 
@@ -99,33 +114,43 @@ def marked_rows(docs: DataFrame) -> DataFrame:
         for text in texts:
             found = shingles(text or "")
             of = int.from_bytes(xxhash.xxh64(found.tobytes(), seed=SEED).digest(), "big", signed=True)
-            rows.append((of, len(found), prefix(found, common, ranks), sketch(found)))
-        return pd.DataFrame(rows, columns=["_class", "_size", "_prefix", "_sketch"])
+            fp = simhash.of_hashes(found.view(np.uint64))
+            rows.append((of, len(found), prefix(found, common, ranks), sketch(found), fp, *parities(found)))
+        return pd.DataFrame(rows, columns=["_class", "_size", "_prefix", "_sketch", "_fp", *PARITIES])
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    found = F.pandas_udf(run, "_class long, _size int, _prefix array<long>, _sketch binary")("text").alias("_f")
+    schema = "_class long, _size int, _prefix array<long>, _sketch binary, _fp long, " + ", ".join(f"{p} long" for p in PARITIES)
+    found = F.pandas_udf(run, schema)("text").alias("_f")
     made = docs.select(row, found).select("row", "_f.*")
     return written(made.withColumn("_row", F.monotonically_increasing_id()), "shingled")
 
 
 def shared_entries(marked: DataFrame) -> DataFrame:
-    """(token, c, n, at): the prefix shingles that two or more sets have in their prefixes; a row for each set."""
+    """(token, c, n, at, p0..): the prefix shingles that two or more sets have in their prefixes; a row for each set."""
     scratch = Scratch(marked.sparkSession)
-    sets = marked.select("_class", "_size", "_prefix").where("_size > 0").dropDuplicates(["_class"])
-    entries = sets.select(F.posexplode("_prefix").alias("at", "token"), F.col("_class").alias("c"), F.col("_size").alias("n"))
+    sets = marked.select("_class", "_size", "_prefix", *PARITIES).where("_size > 0").dropDuplicates(["_class"])
+    entries = sets.select(
+        F.posexplode("_prefix").alias("at", "token"), F.col("_class").alias("c"), F.col("_size").alias("n"), *PARITIES
+    )
     held = entries.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     held = scratch.written(held, "held")
     release(marked.sparkSession)
-    found = written(entries.join(held, "token").select("token", "c", "n", "at"), "entries")
+    found = written(entries.join(held, "token").select("token", "c", "n", "at", *PARITIES), "entries")
     scratch.clear()
     return found
 
 
+SIDE = ("c", "n", "at", *PARITIES, "g")
+
+
 def room() -> Column:
-    """Can sets a and b that share a shingle at these places still be similar enough?"""
+    """Can sets a and b that share a shingle at these places still be similar enough, by their parities too?"""
     most = "least(at_a, at_b) + 1 + least(n_a - at_a - 1, n_b - at_b - 1)"
-    return F.expr(f"5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) AND 9 * ({most}) >= 4 * (n_a + n_b)")
+    apart = " + ".join(f"bit_count({p}_a ^ {p}_b)" for p in PARITIES)
+    return F.expr(
+        f"5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) AND 9 * ({most}) >= 4 * (n_a + n_b) AND 9 * ({apart}) <= n_a + n_b"
+    )
 
 
 def parted(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -133,13 +158,13 @@ def parted(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return entries.withColumn("g", F.col("c"))
     named = entries.join(labels.select(F.col("node").alias("c"), "root"), "c", "left")
-    named = named.select("token", "c", "n", "at", F.coalesce("root", "c").alias("g"))
+    named = named.select("token", *SIDE[:-1], F.coalesce("root", "c").alias("g"))
     held = named.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
-    return named.join(held, "token").select("token", "c", "n", "at", "g")
+    return named.join(held, "token").select("token", *SIDE)
 
 
 def _side(entries: DataFrame, of: str) -> DataFrame:
-    return entries.select("token", *[F.col(x).alias(f"{x}_{of}") for x in ("c", "n", "at", "g")])
+    return entries.select("token", *[F.col(x).alias(f"{x}_{of}") for x in SIDE])
 
 
 def enough(shared: str) -> Column:
@@ -151,6 +176,17 @@ def enough(shared: str) -> Column:
     return F.expr(f"9 * ({shared} + greatest({rest.format('a')}, {rest.format('b')})) >= 4 * (n_a + n_b)")
 
 
+def fingerprint_pairs(marked: DataFrame, written: Callable[[DataFrame, str], DataFrame] = written) -> DataFrame:
+    """(a, b): sets whose SimHash fingerprints differ in at most `simhash.MAX_BITS` bits, by one set of each fingerprint."""
+    sets = marked.select("_class", "_fp").where("_size > 0").dropDuplicates(["_class"])
+    firsts = written(sets.groupBy("_fp").agg(F.min("_class").alias("first")), "fingerprints")
+    same = sets.join(firsts, "_fp").where("_class <> first").select(F.col("first").alias("a"), F.col("_class").alias("b"))
+    near = simhash.links(firsts, "_fp", written)
+    for of in ("a", "b"):
+        near = near.join(firsts.select(F.col("_fp").alias(of), F.col("first").alias(f"c_{of}")), of)
+    return same.union(near.select(F.least("c_a", "c_b"), F.greatest("c_a", "c_b")))
+
+
 def star_pairs(entries: DataFrame) -> DataFrame:
     """(a, b): every set with one that leads enough of its shingles in its band of sizes, that of the most such shingles.
 
@@ -158,20 +194,24 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     """
     band = F.floor(F.log("n") / F.log(F.lit(1.25))).alias("band")
     banded = entries.select("*", band)
-    pick = F.min(F.struct(F.xxhash64("c").alias("o"), *[F.col(x) for x in ("c", "n", "at", "g")])).alias("l")
+    pick = F.min(F.struct(F.xxhash64("c").alias("o"), *[F.col(x) for x in SIDE])).alias("l")
     led = banded.groupBy("token", "band").agg(pick)
-    led = led.select("token", "band", *[F.col(f"l.{x}").alias(f"{x}_b") for x in ("c", "n", "at", "g")])
-    left = banded.select("token", "band", *[F.col(x).alias(f"{x}_a") for x in ("c", "n", "at", "g")])
+    led = led.select("token", "band", *[F.col(f"l.{x}").alias(f"{x}_b") for x in SIDE])
+    left = banded.select("token", "band", *[F.col(x).alias(f"{x}_a") for x in SIDE])
     met = left.join(led, ["token", "band"]).where(F.expr("g_a <> g_b") & room())
     shared = met.groupBy("c_a", "c_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     best = shared.where(enough("shared")).groupBy("c_a").agg(F.max(F.struct("shared", "c_b")).alias("l"))
     return best.select(F.least("c_a", "l.c_b").alias("a"), F.greatest("c_a", "l.c_b").alias("b")).distinct()
 
 
+def met(entries: DataFrame) -> DataFrame:
+    """The entries of two sets of different groups that share a shingle and have room to be similar."""
+    return _side(entries, "a").join(_side(entries, "b"), "token").where(F.expr("c_a < c_b AND g_a <> g_b") & room())
+
+
 def all_pairs(entries: DataFrame) -> DataFrame:
     """(a, b, share), a < b: all sets of different groups whose prefixes share enough, with room to be similar."""
-    met = _side(entries, "a").join(_side(entries, "b"), "token").where(F.expr("c_a < c_b AND g_a <> g_b") & room())
-    shared = met.groupBy("c_a", "c_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
+    shared = met(entries).groupBy("c_a", "c_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     share = (F.col("shared") / (F.col("n_a") + F.col("n_b"))).alias("share")
     return shared.where(enough("shared")).select(F.col("c_a").alias("a"), F.col("c_b").alias("b"), share)
 
@@ -232,6 +272,16 @@ def verified(pairs: DataFrame, sets: DataFrame, marked: DataFrame, scratch: Scra
     return found
 
 
+def candidates(turn: str, marked: DataFrame, entries: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """(a, b): the pairs of sets that a turn compares."""
+    if turn == "simhash":
+        return fingerprint_pairs(marked, scratch.written)
+    left = scratch.written(parted(entries, labels), "parted")
+    if turn == "all":
+        return all_pairs(left).select("a", "b")
+    return star_pairs(left) if turn == "star" else best_pairs(left)
+
+
 def grouped(marked: DataFrame) -> DataFrame:
     """(node, root) for every set that is linked to another, directly or through further ones.
 
@@ -242,12 +292,7 @@ def grouped(marked: DataFrame) -> DataFrame:
     links, labels = None, None
     for turn in TURNS:
         scratch = Scratch(spark)
-        left = scratch.written(parted(entries, labels), "parted")
-        if turn == "all":
-            found = all_pairs(left).select("a", "b")
-        else:
-            found = star_pairs(left) if turn == "star" else best_pairs(left)
-        pairs = scratch.written(found, "pairs")
+        pairs = scratch.written(candidates(turn, marked, entries, labels, scratch), "pairs")
         more = verified(pairs, sets, marked, scratch)
         links = more if links is None else links.unionByName(more)
         labels = written(components(links, written=scratch.written), "groups")

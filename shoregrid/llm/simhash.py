@@ -14,6 +14,7 @@ others within two bits, whatever the number of documents: neither grows with a g
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 from itertools import repeat
 
 import numpy as np
@@ -51,8 +52,12 @@ def fingerprint(text: str, shingle: int = SHINGLE_WORDS) -> int:
     else:
         parts = map(b" ".join, zip(*(itertools.islice(w, i, None) for i in range(shingle))))
     n = max(1, len(w) - shingle + 1)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n)
-    return int.from_bytes(np.packbits(2 * _bits(hashes) > n).tobytes(), "big", signed=True)
+    return of_hashes(np.fromiter(map(xxhash.xxh64_intdigest, parts, repeat(SEED)), np.uint64, n))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The fingerprint of shingles given as unsigned hashes: a bit is 1 if it is set in over half of them."""
+    return int.from_bytes(np.packbits(2 * _bits(hashes) > len(hashes)).tobytes(), "big", signed=True)
 
 
 def references(n: int = REFERENCES) -> list[int]:
@@ -92,8 +97,10 @@ def within_bound(n: int, bound: int) -> str:
     )
 
 
-def links(fingerprints: DataFrame, fp: str = "fp") -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints that differ in at most MAX_BITS bits."""
+def links(
+    fingerprints: DataFrame, fp: str = "fp", written: Callable[[DataFrame, str], DataFrame] = written
+) -> DataFrame:
+    """(a, b), a < b: all pairs of distinct fingerprints that differ in at most MAX_BITS bits. `written` writes a copy."""
     refs = references()
     base = fingerprints.select(F.col(fp).alias("fp")).where("fp IS NOT NULL").distinct()
     whole = [f"t{i}" for i in range(len(whole_distances(refs)))]

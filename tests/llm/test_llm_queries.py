@@ -721,3 +721,24 @@ def test_licences_in_very_long_texts_take_time_in_proportion(spark):
     for n in (1, 3, 20_000):  # each line matches, no wider block adds anything
         assert [m.line for m in got[n].matches] == list(range(n)) and got[n].score == 1
     assert (got[0].n_base, got[0].first_word, got[0].last_word) == (100_000, 0, 199_998)
+
+
+def test_near_duplicates_are_linked_by_fingerprints_first(spark, monkeypatch):
+    """A long text and its copy with one word more: fingerprints alone find and group them."""
+    words = [f"w{x}" for x in np.random.default_rng(5).integers(0, 10**6, 3000)]
+    other = [f"v{x}" for x in range(3000)]
+    rows = list(enumerate([" ".join(words), " ".join([*words, "end"]), " ".join(other)]))
+    marked = near_copies.marked_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    names = {r["_class"]: r.doc_id for r in marked.select("_class", "row.doc_id").collect()}
+    assert [{names[p.a], names[p.b]} for p in near_copies.fingerprint_pairs(marked).collect()] == [{0, 1}]
+    monkeypatch.setattr(near_copies, "TURNS", ("simhash",))
+    assert {names[r.node] for r in near_copies.grouped(marked).collect()} == {0, 1}
+
+
+def test_texts_that_share_a_passage_do_not_meet(spark):
+    passage = " ".join(f"same{x}" for x in range(80))
+    texts = [f"{passage} " + " ".join(f"own{k}x{x}" for x in range(60)) for k in range(40)]
+    marked = near_copies.marked_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    entries = near_copies.shared_entries(marked)
+    assert entries.count() > 40
+    assert near_copies.met(near_copies.parted(entries, None)).count() == 0
