@@ -97,8 +97,8 @@ def fit_tables(vocab: DataFrame, bits: int) -> np.ndarray:
         if total is not None:
             flat = total.reshape(-1, 2 * min(CHUNK_SLOTS, 1 << bits))
             for at in range(0, len(flat), CHUNK_ROWS):
-                part = flat[at : at + CHUNK_ROWS]
-                yield pd.DataFrame({"chunk": np.arange(at, at + len(part), dtype=np.int32), "data": [x.tobytes() for x in part]})
+                part = [(at + k, x.tobytes()) for k, x in enumerate(flat[at : at + CHUNK_ROWS]) if x.any()]
+                yield pd.DataFrame(part, columns=["chunk", "data"]).astype({"chunk": np.int32})
 
     def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x, np.float32) for x in frame["data"]], axis=0, dtype=np.float64)
@@ -123,7 +123,8 @@ def fit(vocab: DataFrame, n_words: int, bits: int) -> dict:
     """Tables, mixing weights and refinement, learnt from all training words."""
     spark = vocab.sparkSession
     learnt = vocab.where("train > 0")
-    tables = fit_tables(learnt.repartition(max(1, -(-n_words // TABLE_WORDS)), "word"), bits)
+    # dealt without a key: every task sends whole tables on, so there must be no more of them than the words are worth
+    tables = fit_tables(learnt.repartition(max(1, -(-n_words // TABLE_WORDS))), bits)
     shared = spark.sparkContext.broadcast(tables)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -742,3 +742,13 @@ def test_texts_that_share_a_passage_do_not_meet(spark):
     entries = near_copies.shared_entries(marked)
     assert entries.count() > 40
     assert near_copies.met(near_copies.parted(entries, None)).count() == 0
+
+
+def test_word_tables_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
+    """Each task sends a whole table on, so a few words must not be dealt to as many tasks as there are partitions."""
+    seen = []
+    monkeypatch.setattr(lm_score, "fit_tables", lambda learnt, bits: seen.append(learnt) or np.zeros((len(mixing.ORDERS), 1 << bits, 2), np.float32))
+    vocab = spark.range(500).select(F.concat(F.lit("w"), "id").cast("binary").alias("word"), F.lit(2).cast("long").alias("train"))
+    lm_score.fit(vocab, 500, 14)
+    assert "hashpartitioning" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert seen[0].rdd.getNumPartitions() == 1
