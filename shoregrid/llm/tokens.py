@@ -22,6 +22,9 @@ CACHED_PIECES = 1_200_000
 _SPACES = frozenset(chr(c) for c in range(0x3001) if chr(c).isspace())
 _MARKS = frozenset(".,;:!?")
 _DOTTED = "\u0130"  # its lower case ends with a combining dot
+JOINED_PIECES = 100
+"""New pieces that the tokenizer is given as one text, if it drops spaces; a call has its price, however short the text is."""
+_BETWEEN = "~"  # stands between them, with an id of its own; pieces that hold it are encoded by themselves
 _CAREFUL = re.compile(r"(?<!^)(?= \S)")
 
 
@@ -97,10 +100,31 @@ def encoder(path: str, drops_spaces: bool) -> Encoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
-    def whole(texts: list[str]) -> list[bytes]:
+    def single(texts: list[str]) -> list[bytes]:
         found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         flat = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
         ends = np.cumsum([4 * len(x) for x in found]).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
+    mark = tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+    if not drops_spaces or len(mark) != 1:
+        return Encoder(single, drops_spaces)
+
+    def whole(texts: list[str]) -> list[bytes]:
+        plain = [t for t in texts if _BETWEEN not in t]
+        chunks = [plain[a : a + JOINED_PIECES] for a in range(0, len(plain), JOINED_PIECES)]
+        joined = tokenizer.encode_batch_fast([f" {_BETWEEN} ".join([*c, ""]) for c in chunks], add_special_tokens=False)
+        found: list[bytes] = []
+        for chunk, e in zip(chunks, joined):
+            ids = np.array(e.ids, "<u4")
+            ends = (4 * np.nonzero(ids == mark[0])[0]).tolist()
+            data = ids.tobytes()
+            cut = [data[a:b] for a, b in zip([0, *(x + 4 for x in ends)], ends)]
+            found += cut if len(cut) == len(chunk) else single(chunk)
+        if len(plain) == len(texts):
+            return found
+        rest = iter(single([t for t in texts if _BETWEEN in t]))
+        each = iter(found)
+        return [next(rest if _BETWEEN in t else each) for t in texts]
+
     return Encoder(whole, drops_spaces)

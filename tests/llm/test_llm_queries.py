@@ -140,6 +140,16 @@ def test_cut_encoder_equals_whole(odd_texts, path, drops):
     assert got == [x[:-1].tobytes() for x in ids_of(path, odd_texts)]
 
 
+@pytest.mark.parametrize("joined", [1, 3, 100])
+def test_pieces_are_joined_before_they_are_tokenized(odd_texts, monkeypatch, joined):
+    monkeypatch.setattr(tokens, "JOINED_PIECES", joined)
+    tokens.encoder.cache_clear()
+    texts = [*odd_texts, "~", "a~b ~ c", "~~~ x", "e\u0301 \u0301 ~\u0303", "Don't stop. It's 12 <|endoftext|>", "x" * 5000]
+    got = tokens.encoder(queries.WORD_TOKENIZER, True).encode(texts)
+    tokens.encoder.cache_clear()
+    assert got == [x[:-1].tobytes() for x in ids_of(queries.WORD_TOKENIZER, texts)]
+
+
 def reference_bpe():
     ranks = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).ranks
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
