@@ -529,6 +529,43 @@ def test_text_score_prefers_repeats():
     assert lm_score.text_score(np.array([3]), price[:1]) == pytest.approx(-3.0)
 
 
+def test_token_hashes_are_those_of_the_words():
+    texts = [t.encode().lower() for t in ["A b  ab\x0bbA é中\x1c x", "", " \n", "z" * 300_000, "a b", " ab"]]
+    found, sizes = mixing.token_hashes(texts)
+    split = [[*t.split(), b""] for t in texts]
+    assert sizes.tolist() == [len(w) for w in split]
+    assert found.tolist() == mixing.word_hashes([w for ws in split for w in ws]).tolist()
+    assert len(set(found.tolist())) == len({w for ws in split for w in ws})
+
+
+def test_codes_after_words_add_up():
+    """One two-token text for each code: the probabilities of all codes after the same word come to one."""
+    hashes, sizes = mixing.token_hashes([b"a b c d a b c d"] * 20)
+    table = mixing.following_counts(hashes, sizes, 14)
+    state = mixing.new_state(len(mixing.FOLLOWED))
+    mixing.learn_following(hashes, sizes, mixing.Odds(table, True, mixing.FOLLOWED_GATED), state)
+    first = hashes[0]
+    every = np.arange(1 << mixing.CODE_BITS, dtype=np.uint64) << np.uint64(64 - mixing.CODE_BITS)
+    pairs = np.stack([np.full(len(every), first), every], axis=1).ravel()
+    odds = mixing.Odds(table, False, mixing.FOLLOWED_GATED)
+    found = mixing.log10_following(pairs, np.full(len(every), 2), odds, state[0], mixing.refinement(state[2]))
+    assert (10 ** found[1::2]).sum() == pytest.approx(1)
+    assert found[1::2].argmax() == mixing.codes(hashes[1:2])[0]
+
+
+def test_lm_score_depends_on_the_words_before(spark):
+    """The words of a text in an order that training never had score clearly worse, the same set of words or not."""
+    rng = np.random.default_rng(5)
+    runs = [" ".join(f"{a}{k}" for k in range(6)) for a in "abcdefghij"]
+    training = [" ".join(rng.choice(runs, 30)) for _ in range(300)]
+    kept = " ".join(runs)
+    mixed = " ".join(rng.permutation(kept.split()))
+    rows = [(k, t, True) for k, t in enumerate(training)] + [(1000, kept, False), (1001, mixed, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learnt boolean")
+    score = {r.doc_id: r.score for r in lm_score.scored(docs, F.col("learnt")).where("doc_id >= 1000").collect()}
+    assert score[1000] > score[1001] + 30
+
+
 def test_lm_edges(spark, edge):
     rows = lm_score.scored(edge, F.col("doc_id") != 7).collect()
     assert len(rows) == len(EDGES) and all(np.isfinite(r.score) and np.isfinite(r.base_score) for r in rows)
