@@ -105,9 +105,8 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def marked_rows(docs: DataFrame) -> DataFrame:
-    """(row, _class, _size, _prefix, _sketch, _fp, p0.., _row): the row, a hash of its set, what is known of the set, a number; written once."""
+    """(row, _class, _size, _sketch, _fp, p0.., _row): the row, a hash of its set, what is known of the set, a number; written once."""
     ready(docs.sparkSession)
-    common, ranks = common_shingles(docs)
 
     def run(texts: pd.Series) -> pd.DataFrame:
         rows = []
@@ -115,28 +114,45 @@ def marked_rows(docs: DataFrame) -> DataFrame:
             found = shingles(text or "")
             of = int.from_bytes(xxhash.xxh64(found.tobytes(), seed=SEED).digest(), "big", signed=True)
             fp = simhash.of_hashes(found.view(np.uint64))
-            rows.append((of, len(found), prefix(found, common, ranks), sketch(found), fp, *parities(found)))
-        return pd.DataFrame(rows, columns=["_class", "_size", "_prefix", "_sketch", "_fp", *PARITIES])
+            rows.append((of, len(found), sketch(found), fp, *parities(found)))
+        return pd.DataFrame(rows, columns=["_class", "_size", "_sketch", "_fp", *PARITIES])
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    schema = "_class long, _size int, _prefix array<long>, _sketch binary, _fp long, " + ", ".join(f"{p} long" for p in PARITIES)
+    schema = "_class long, _size int, _sketch binary, _fp long, " + ", ".join(f"{p} long" for p in PARITIES)
     found = F.pandas_udf(run, schema)("text").alias("_f")
     made = docs.select(row, found).select("row", "_f.*")
     return written(made.withColumn("_row", F.monotonically_increasing_id()), "shingled")
 
 
+def prefixes(marked: DataFrame) -> DataFrame:
+    """(c, prefix): the prefix of the set of every row whose text has words; not written."""
+    common, ranks = common_shingles(marked.select("row.text"))
+
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([prefix(shingles(t or ""), common, ranks) for t in texts])
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    found = F.pandas_udf(run, "array<long>")("row.text").alias("prefix")
+    return marked.where("_size > 0").select(F.col("_class").alias("c"), found)
+
+
 def shared_entries(marked: DataFrame) -> DataFrame:
     """(token, c, n, at, p0..): the prefix shingles that two or more sets have in their prefixes; a row for each set."""
     scratch = Scratch(marked.sparkSession)
-    sets = marked.select("_class", "_size", "_prefix", *PARITIES).where("_size > 0").dropDuplicates(["_class"])
-    entries = sets.select(
-        F.posexplode("_prefix").alias("at", "token"), F.col("_class").alias("c"), F.col("_size").alias("n"), *PARITIES
-    )
-    held = entries.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
-    held = scratch.written(held, "held")
+    # prefixes are a third of the input and needed here only, so they do not lie with the rows until the end
+    made = scratch.written(prefixes(marked), "prefixes")
+    entry = ["c", F.posexplode("prefix").alias("at", "token")]
+    # copies need not be folded here: they have the same set
+    seen = made.select(*entry).groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    held = scratch.written(seen.where("lo <> hi").select("token"), "held")
+    release(marked.sparkSession)
+    # most shingles are in one set only, so what else is known of a set is joined to the entries that are left
+    entries = made.dropDuplicates(["c"]).select(*entry)
+    left = scratch.written(entries.join(held, "token").select("token", "c", "at"), "left")
     release(marked.sparkSession)
-    found = written(entries.join(held, "token").select("token", "c", "n", "at", *PARITIES), "entries")
+    sets = marked.where("_size > 0").select(F.col("_class").alias("c"), F.col("_size").alias("n"), *PARITIES).dropDuplicates(["c"])
+    found = written(left.join(sets, "c").select("token", "c", "n", "at", *PARITIES), "entries")
     scratch.clear()
     return found
 

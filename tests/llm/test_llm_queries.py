@@ -799,3 +799,18 @@ def test_word_tables_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
     lm_score.fit(vocab, 500, 14)
     assert "hashpartitioning" not in seen[0]._jdf.queryExecution().executedPlan().toString()
     assert seen[0].rdd.getNumPartitions() == 1
+
+
+def test_prefixes_do_not_lie_with_the_rows(spark):
+    """Entries are those of shingles that two sets hold in their prefixes, and rows are written without them."""
+    head = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, head + " x"), (2, head + " y"), (2, head + " y"), (3, "one two three"), (4, ""), (5, None), (None, head + " x")]
+    marked = near_copies.marked_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "_prefix" not in marked.columns
+    none = np.zeros(0, np.int64)
+    sets = [near_copies.shingles(t) for t in (head + " x", head + " y", "one two three")]
+    held = Counter(x for s in sets for x in near_copies.prefix(s, none, none).tolist())
+    got = near_copies.shared_entries(marked).collect()
+    assert Counter(r.token for r in got) == {x: n for x, n in held.items() if n > 1}
+    size = {r._class: (r._size, r.p0, r.p1, r.p2, r.p3) for r in marked.collect()}
+    assert got and all((r.n, r.p0, r.p1, r.p2, r.p3) == size[r.c] for r in got)
