@@ -15,27 +15,49 @@ BEYOND = -1
 """The level of what is asked for at or after the newest time of the history."""
 SCD_GROWTH = 3
 """How many copies of a history row `scd_join` makes at most."""
+SHORT_ROWS = 2**LEVEL_BITS + 2
+"""A history of so many rows at most need not be told apart by level: a fact may meet as many on one level alone."""
+BUCKETS = 4096
+"""Keys are hashed into so many buckets to tell facts whose histories are short; an array of them goes to every task."""
 
 
 def _cell(us: Column, level: Column) -> Column:
     return F.when(level == BEYOND, F.lit(0)).otherwise(
-        F.call_function("shiftright", us, F.greatest(level, F.lit(0)) * LEVEL_BITS)
+        F.call_function("shiftright", us, F.least(F.greatest(level, F.lit(0)) * LEVEL_BITS, F.lit(63)))
     )
 
 
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def short_buckets(history: DataFrame, key: str) -> Column:
+    """For each bucket of keys, is the history of all of them short? An array as a scalar subquery."""
+    rows = history.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    longest = rows.groupBy(_bucket(key).alias("_bucket")).agg(F.max("_rows").alias("_rows"))
+    long_ones = longest.where(F.col("_rows") > SHORT_ROWS).agg(F.collect_set("_bucket").alias("_long"))
+    every = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
+    return long_ones.select(F.transform(every, lambda b: ~F.array_contains("_long", b)).alias("short")).scalar()
+
+
 def newest_time(history: DataFrame, start: str, end: str) -> Column:
     """The latest start or end of the history, in microseconds, as a scalar subquery."""
     from_us, to_us = micros(F.col(start)), micros(F.col(end))
     return history.agg(F.max(F.greatest(from_us, to_us)).alias("newest")).scalar()
 
 
-def filed_by_length(history: DataFrame, start: str, end: str) -> DataFrame:
+def filed_by_length(
+    history: DataFrame, start: str, end: str, top: Column | None = None, short: Column | None = None
+) -> DataFrame:
     """History rows once for each time cell they lie in, as `_level` and `_cell`.
 
     A row is filed on the lowest level whose cells are as long as it is, so it lies in two cells at most. An open
     row ends, for this, just before the newest time of all; it is also filed beyond it, as is a row that ends there.
+    Rows for which `short` holds go to level `top`, the highest of all: their cells there are two at most as well.
     """
     rows = _levelled(history, start, end)
+    if short is not None:
+        rows = rows.withColumn("_own", F.when(F.col("_own").isNotNull() & short, top).otherwise(F.col("_own")))
     from_us, to_us, level = micros(F.col(start)), micros(F.col(end)), F.col("_own")
     place = lambda n, cell: F.struct(n.alias("_level"), cell.cast("long").alias("_cell"))
     none = F.array().cast("array<struct<_level: int, _cell: bigint>>")
@@ -62,11 +84,19 @@ def levels_of(history: DataFrame, start: str, end: str) -> Column:
     return _levelled(history, start, end).agg(F.collect_set("_own").alias("levels")).scalar()
 
 
-def asked_by_level(fact: DataFrame, ts: str, newest: Column, levels: Column) -> DataFrame:
-    """Fact rows once for each level, with the cell of their time; at or after the newest time just once."""
+def asked_by_level(
+    fact: DataFrame, ts: str, newest: Column, levels: Column, top: Column | None = None, short: Column | None = None
+) -> DataFrame:
+    """Fact rows once for each level, with the cell of their time; at or after the newest time just once.
+
+    Where `short` holds, all rows of the key are filed on level `top`, and a fact asks there only.
+    """
     us = micros(F.col(ts))
     timed = fact.withColumn("_newest", newest).withColumn("_levels", levels)
-    each = F.when(us >= F.col("_newest"), F.array(F.lit(BEYOND))).otherwise(F.col("_levels"))
+    each = F.when(us >= F.col("_newest"), F.array(F.lit(BEYOND)))
+    if short is not None:
+        each = each.when(short, F.array(top))
+    each = each.otherwise(F.col("_levels"))
     asked = timed.withColumn("_level", F.explode(each))
     return asked.withColumn("_cell", _cell(us, F.col("_level"))).drop("_newest", "_levels")
 
@@ -86,10 +116,17 @@ def scd_join(
     one cell on each level that the history has (13 at most): it meets rows of one cell that are longer than a part in
     2^LEVEL_BITS of it. Where rows of a key do not overlap, these are 2^LEVEL_BITS + 2 a level at most, however they
     cluster; where they do, a fact meets no more than lie in the neighbourhood of its time, of their own length.
+    Keys with SHORT_ROWS rows at most have them on the highest level alone, so their facts are sent once and not once a
+    level; all keys of a bucket must be so, as facts know their bucket without being joined to anything.
     A key's rows that are asked for by very many facts are split by the adaptive skew join.
     """
-    filed = filed_by_length(history, start, end)
-    asked = asked_by_level(fact, ts, newest_time(history, start, end), levels_of(history, start, end))
+    levels = levels_of(history, start, end)
+    top = short = None
+    kind = dict(history.dtypes)[key]
+    if kind == dict(fact.dtypes)[key] and "collate" not in kind:  # equal keys hash alike
+        top, short = F.array_max(levels), F.coalesce(F.get(short_buckets(history, key), _bucket(key)), F.lit(False))
+    filed = filed_by_length(history, start, end, top, short)
+    asked = asked_by_level(fact, ts, newest_time(history, start, end), levels, top, short)
     holds = F.col(ts).between(F.col(start), F.coalesce(F.col(end), F.col(ts)))
     if residual is not None:
         holds = holds & residual

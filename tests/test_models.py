@@ -373,6 +373,28 @@ def test_history_join_equals_plain_join(spark):
     assert sorted(got) == sorted(plain) and len(plain) > 1000
 
 
+def test_facts_of_short_histories_are_sent_once(spark, monkeypatch):
+    """Histories on several levels: facts of short ones ask once, of a long one and its bucket once a level."""
+    spans = [(f"k{k}", 10 * k + at, 10 * k + at + length, i) for k in range(40) for i, (at, length) in enumerate([(0, 1), (100, 2000), (5000, 10**8)])]
+    spans += [("long", i, i, i) for i in range(40)] + [("long", 0, 10**6, -1), ("long", None, 5, -2), ("k1", 9, 3, -3), ("k2", 7, None, -4)]
+    seconds = lambda c: F.timestamp_seconds(c)
+    history = spark.createDataFrame(spans, "k string, s long, e long, n long").select(
+        "k", seconds("s").alias("start_time"), seconds("e").alias("end_time"), "n"
+    )
+    facts = spark.createDataFrame([(f"k{k}", 10 * k + at) for k in range(40) for at in (1, 300, 10**4, 10**9)], "k string, at long")
+    facts = facts.unionByName(spark.createDataFrame([("long", 3), ("long", 10**5), (None, 5), ("none", 5), ("k3", None)], "k string, at long"))
+    facts = facts.select("k", "at", seconds("at").alias("ts"))
+    sent = []
+    real = joins.join_dimension
+    monkeypatch.setattr(joins, "join_dimension", lambda fact, *args, **named: sent.append(fact) or real(fact, *args, **named))
+    plain = facts.join(history, "k").where("ts BETWEEN start_time AND coalesce(end_time, ts)").select("k", "at", "n").collect()
+    found = joins.scd_join(facts, history, "k", "ts").select("k", "at", "n").collect()
+    assert sorted(found) == sorted(plain) and len(plain) > 100
+    times = {(r.k, r["at"]): r["count"] for r in sent[0].groupBy("k", "at").count().collect()}
+    assert times["long", 3] == len(spark.range(1).select(joins.levels_of(history, "start_time", "end_time")).first()[0]) > 2
+    assert sum(n > 1 for (k, _), n in times.items() if k != "long") <= 4
+
+
 def hour_rows(spark, sums):
     return sorted((r.station, r.hour, r.v) for r in ntz(ingest.hour_means(spark, sums, "station", ["v"]), "hour").collect())
 
