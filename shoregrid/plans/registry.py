@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +15,8 @@ from shoregrid.operators.audit import require_unique
 from shoregrid.operators.incremental import missing_ranges
 from shoregrid.plans import bronze, gold, silver
 from shoregrid.session import work_path
-from shoregrid.sinks.tables import remove_folder, replace_partitions
-from shoregrid.sources.files import read_observation_text, read_positional_csv
+from shoregrid.sinks.tables import folder_exists, remove_folder, replace_partitions
+from shoregrid.sources.files import read_bundled_text, read_observation_text, read_positional_csv
 
 
 @dataclass(frozen=True)
@@ -72,8 +72,14 @@ def _copy(source: str, lake: Lake, start, end) -> DataFrame:
 
 
 def _raw_buoys(lake: Lake, start, end) -> DataFrame:
-    """Text files `stdmet/<name>.txt`, or folders `stdmet=<name>.txt` of parts as a Spark job lands them."""
-    lines = read_observation_text(lake.spark, lake.path("raw/buoys"))
+    """Text files `stdmet/<name>.txt`, folders `stdmet=<name>.txt` of parts, and bundles of many such files."""
+    files, bundles = lake.path("raw/buoys"), lake.path("raw/buoy_bundles")
+    landed = []
+    if folder_exists(lake.spark, bundles):
+        landed.append(read_bundled_text(lake.spark, bundles))
+    if not landed or folder_exists(lake.spark, files):
+        landed.append(read_observation_text(lake.spark, files))
+    lines = reduce(DataFrame.unionByName, landed)
     lines = lines.withColumn("filename", F.replace("filename", F.lit("stdmet="), F.lit("stdmet/")))
     return bronze.buoy_bronze(lines).withColumn("year", F.year("year"))
 

@@ -30,6 +30,7 @@ from shoregrid.queries.inputs import (
 )
 from shoregrid.queries.models import buoy_idw_sql
 from shoregrid.session import work_path
+from shoregrid.sources.files import bundled
 
 NTZ = "timestamp_ntz"
 
@@ -136,8 +137,8 @@ def lake_tags(spark, sf_dir):
     lake = registry.Lake(spark, work_path(spark, "lake"))
     user, events = F.col("user_id"), table(spark, sf_dir, "events")
     lines = buoy_text(spark, sf_dir, one_per_time(spark, sf_dir))
-    name = F.replace(F.substring_index("filename", "/", -1), F.lit(".gz"), F.lit("")).alias("stdmet")
-    lines.select(name, "value").repartition("stdmet").write.partitionBy("stdmet").text(lake.path("raw/buoys"))
+    name = F.concat(F.lit("stdmet/"), F.replace(F.substring_index("filename", "/", -1), F.lit(".gz"), F.lit("")))
+    bundled(lines.withColumn("filename", name)).write.text(lake.path("raw/buoy_bundles"))
     hours = events.groupBy((user % 1000).alias("user_id"), F.date_trunc("HOUR", "ts").alias("ts"))
     gauges = hours.agg(F.max(F.floor(F.col("value") * 40) - 2800).alias("reading_mm")).select(
         F.concat(text.zero_pad(user, 3), F.lit("a.csv")).alias("gauge"),

@@ -109,6 +109,11 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in store.listStatus(at) if f.isDirectory())
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    at, store = _folder(spark, path)
+    return store.exists(at)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it; one that is not there is fine."""
     at, store = _folder(spark, path)

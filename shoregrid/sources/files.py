@@ -46,6 +46,21 @@ def read_observation_text(
     return observation_lines(raw, "value", latest)
 
 
+def bundled(lines: DataFrame) -> DataFrame:
+    """Lines of many small files, (filename, value), as text for few large ones: each after the name of its file and a tab."""
+    return lines.select(F.concat(F.coalesce("filename", F.lit("")), F.lit("\t"), "value").alias("value"))
+
+
+def read_bundled_text(spark: SparkSession, paths: str | list[str], latest: bool = False) -> DataFrame:
+    """Observation lines as `read_observation_text` gives them, from bundles of many files.
+
+    A folder or file for each of very many stations costs more to make, list and open than to read.
+    """
+    name = F.substring_index("value", "\t", 1)
+    raw = spark.read.text(paths).select(name.alias("filename"), F.substr("value", F.length(name) + 2).alias("value"))
+    return observation_lines(raw, "value", latest)
+
+
 def observation_lines(df: DataFrame, value: str, latest: bool = False) -> DataFrame:
     row = F.col(value)
     keep = ~row.rlike(COMMENT_ROW) if latest else row.rlike(ARCHIVE_ROW)

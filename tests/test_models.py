@@ -395,6 +395,24 @@ def test_facts_of_short_histories_are_sent_once(spark, monkeypatch):
     assert sum(n > 1 for (k, _), n in times.items() if k != "long") <= 4
 
 
+def test_bundles_of_raw_files_give_the_rows_of_the_files(spark, tmp_path):
+    """Lines of many stations in few files, each after its file's name; files of their own still count."""
+    lines = [("stdmet/%05dh%d.txt" % (i, 2024 if i % 2 else 2004), f"2024 03 0{1 + i % 9} 11 {'30 ' if i % 2 else ''}7\t{i}") for i in range(50)]
+    lines += [(None, "2024 03 01 11 30 1"), ("stdmet/00001h2024.txt", "#YY MM DD"), ("stdmet/00001h2024.txt", "")]
+    rows = spark.createDataFrame(lines, "filename string, value string")
+    lake = registry.Lake(spark, str(tmp_path))
+    files.bundled(rows.repartition(2)).write.text(lake.path("raw/buoy_bundles"))
+    registry.refresh_full(lake, "bronze/buoys")
+    shown = lambda: sorted((r.station_id, str(r.timestamp_tz), r.line) for r in lake.table("bronze/buoys").collect())
+    named = rows.where("filename IS NOT NULL")
+    want = bronze.buoy_bronze(files.observation_lines(named, "value")).collect()
+    assert shown() == sorted([(r.station_id, str(r.timestamp_tz), r.line) for r in want] + [("", "2024-03-01 11:30:00", ["2024", "03", "01", "11", "30", "1"])])
+    assert len(list((tmp_path / "raw" / "buoy_bundles").glob("part-*"))) <= 2
+    spark.createDataFrame([("77777h2024.txt", "2024 03 01 11 30 9")], "stdmet string, value string").write.partitionBy("stdmet").text(lake.path("raw/buoys"))
+    registry.refresh_full(lake, "bronze/buoys")
+    assert [r[0] for r in shown()][-1] == "77777" and len(shown()) == 52
+
+
 def hour_rows(spark, sums):
     return sorted((r.station, r.hour, r.v) for r in ntz(ingest.hour_means(spark, sums, "station", ["v"]), "hour").collect())
 
