@@ -15,6 +15,9 @@ from shoregrid.operators.sized import join_dimension, written
 COMPASS_DIMS = (4, 7)
 """The two directions of a tag (elements counted from 1): they span far more than the radius."""
 
+BAND_ROWS = 1_000
+"""Rows of one band from which on it is worth a task more: each of them meets all queries of the band."""
+
 
 def make_vector(cell: Column, *features: Column) -> Column:
     """Cell and features as one array of doubles; keep the cell as a column of its own as well."""
@@ -72,7 +75,7 @@ def similar_vectors(
     placed = placed.withColumns({k: band(f"_x{i}") for k, i in zip(keys, cut)})
     squares = [(F.col(f"_x{i}"), F.col(f"_q{i}")) for i in elements]
     distance = l2_distance_unrolled(squares)
-    near = join_dimension(placed, ask, keys, residual=distance < radius, growth=3 ** len(cut))
+    near = join_dimension(placed, ask, keys, residual=distance < radius, growth=3 ** len(cut), hot_rows=BAND_ROWS)
     helpers = [*keys, *[f"_x{i}" for i in elements], *[f"_q{i}" for i in elements]]
     return near.withColumn("l2_dist", round_half_away(distance, digits)).drop(*helpers)
 

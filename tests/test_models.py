@@ -413,6 +413,20 @@ def test_bundles_of_raw_files_give_the_rows_of_the_files(spark, tmp_path):
     assert [r[0] for r in shown()][-1] == "77777" and len(shown()) == 52
 
 
+def test_rows_of_one_band_are_shared_between_tasks(spark, no_broadcast):
+    """5,000 vectors in one band: the pairs of the band are made by several tasks."""
+    from shoregrid.operators.search import similar_vectors
+
+    vectors = spark.range(5000).select("id", F.array(*[F.lit(1.0)] * 6, F.col("id") / 5000.0).alias("v"))
+    asked = vectors.where("id % 500 = 0").select(F.col("id").alias("q"), "v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        near = similar_vectors(asked, vectors, ["q"], "v").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in near) == 50_000 and len(near) > 2
+
+
 def hour_rows(spark, sums):
     return sorted((r.station, r.hour, r.v) for r in ntz(ingest.hour_means(spark, sums, "station", ["v"]), "hour").collect())
 
