@@ -454,6 +454,24 @@ def test_blocks_of_vectors_are_merged(spark, monkeypatch):
     assert hits >= 0.98 * 400
 
 
+def test_rows_of_packed_vectors_are_bounded_by_bytes(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(6_000, 64))
+    frame = spark.createDataFrame([(i % 5_990, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    seen, path_of = [], neighbours.work_path
+    monkeypatch.setattr(neighbours, "work_path", lambda s, name: seen.append((name, path := path_of(s, name))) or path)
+    got = neighbours.nearest(frame.coalesce(1), F.pmod("vec_id", F.lit(300)) == 7).collect()
+    for name, most in (("vectors", neighbours.BLOCK_BYTES), ("queries", 2 * neighbours.QUERY_BYTES)):
+        found = spark.read.parquet(dict(seen)[name])
+        assert found.select(F.max(F.length("v"))).first()[0] <= most
+    assert spark.read.parquet(dict(seen)["vectors"]).select(F.sum(F.length("ids") / 8)).first()[0] == 6_000
+    ids = np.arange(6_000) % 5_990
+    for q in range(307, 5_990, 300):
+        score = np.where(ids == q, -np.inf, v @ v[q])
+        want = [(int(ids[i]), round(float(score[i]), 9)) for i in np.lexsort((ids, -score))[:20]]
+        assert [(r.vec_id, round(r.score, 9)) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == want
+
+
 # HTML
 
 
