@@ -180,7 +180,8 @@ def parted(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _side(entries: DataFrame, of: str) -> DataFrame:
-    return entries.select("token", *[F.col(x).alias(f"{x}_{of}") for x in SIDE])
+    """One side of a join of entries, never broadcast: what is known of a set repeats, so files are a tenth of the rows in memory."""
+    return entries.select("token", *[F.col(x).alias(f"{x}_{of}") for x in SIDE]).hint("merge")
 
 
 def enough(shared: str) -> Column:
@@ -214,7 +215,7 @@ def star_pairs(entries: DataFrame) -> DataFrame:
     led = banded.groupBy("token", "band").agg(pick)
     led = led.select("token", "band", *[F.col(f"l.{x}").alias(f"{x}_b") for x in SIDE])
     left = banded.select("token", "band", *[F.col(x).alias(f"{x}_a") for x in SIDE])
-    met = left.join(led, ["token", "band"]).where(F.expr("g_a <> g_b") & room())
+    met = left.hint("merge").join(led.hint("merge"), ["token", "band"]).where(F.expr("g_a <> g_b") & room())
     shared = met.groupBy("c_a", "c_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
     best = shared.where(enough("shared")).groupBy("c_a").agg(F.max(F.struct("shared", "c_b")).alias("l"))
     return best.select(F.least("c_a", "l.c_b").alias("a"), F.greatest("c_a", "l.c_b").alias("b")).distinct()

@@ -117,7 +117,8 @@ def links(
     left = filed.withColumnsRenamed({"fp": "a", **{t: f"ta{t[1:]}" for t in whole}})
     right = filed.withColumnsRenamed({"fp": "b", "key": "key_b", **{t: f"tb{t[1:]}" for t in whole}})
     near = f"key = key_b AND a < b AND {within_bound(len(refs), MAX_BITS)} AND bit_count(a ^ b) <= {MAX_BITS}"
-    return left.join(right, F.expr(near)).select("a", "b").distinct()
+    # pivots take a few bytes each in their files, their 28 filed rows over a kilobyte: by the planner's size they would be broadcast
+    return left.hint("merge").join(right.hint("merge"), F.expr(near)).select("a", "b").distinct()
 
 
 def fingerprints(column: pd.Series) -> pd.Series:

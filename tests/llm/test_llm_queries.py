@@ -411,6 +411,20 @@ def test_toxicity_edges(spark, edge, labels):
     assert all(not r.predicted for r in toxicity.scored(edge, labels.limit(0)).collect())
 
 
+def joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    return set(re.findall(r"BroadcastHashJoin|SortMergeJoin", plan))
+
+
+def test_tables_that_grow_after_they_are_sized_are_not_broadcast(spark):
+    fingerprints = spark.range(3_000).select(F.xxhash64("id").alias("fp"))
+    assert joins(simhash.links(fingerprints)) == {"SortMergeJoin"}
+    texts = [" ".join(f"w{j}" if j % 30 else f"u{i}.{j}" for j in range(60)) for i in range(40)]
+    marked = near_copies.marked_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    left = near_copies.parted(near_copies.shared_entries(marked), None)
+    assert joins(near_copies.met(left)) == joins(near_copies.star_pairs(left)) == {"SortMergeJoin"}
+
+
 # neighbours
 
 
