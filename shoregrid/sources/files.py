@@ -56,9 +56,13 @@ def read_bundled_text(spark: SparkSession, paths: str | list[str], latest: bool
 
     A folder or file for each of very many stations costs more to make, list and open than to read.
     """
+    return observation_lines(unbundled(spark.read.text(paths)), "value", latest)
+
+
+def unbundled(lines: DataFrame) -> DataFrame:
+    """What `bundled` was given: (filename, value)."""
     name = F.substring_index("value", "\t", 1)
-    raw = spark.read.text(paths).select(name.alias("filename"), F.substr("value", F.length(name) + 2).alias("value"))
-    return observation_lines(raw, "value", latest)
+    return lines.select(name.alias("filename"), F.substr("value", F.length(name) + 2).alias("value"))
 
 
 def observation_lines(df: DataFrame, value: str, latest: bool = False) -> DataFrame:

@@ -1,12 +1,15 @@
 """Plans and batches that keep their shape as tables grow."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from shoregrid.operators.sized import dealt, join_dimension
 from shoregrid.queries import scans, streams
+from shoregrid.sources.files import bundled
+from shoregrid.streaming import ingest
 
 
 def test_a_side_that_grows_is_not_broadcast(spark, tmp_path):
@@ -58,6 +61,24 @@ def test_realtime_feed_is_taken_in_part_by_part(spark, feed):
     assert sorted(r["_batch"] for r in seen["counters"].collect()) == [0, 1, 2, 3]
 
 
+def test_realtime_feed_lands_in_few_files_however_many_stations(spark, feed, monkeypatch):
+    path, _ = feed
+    work_path = streams.work_path
+    monkeypatch.setattr(streams, "work_path", lambda s, n: f"{path}/feed" if n == "feed" else work_path(s, n))
+    assert len(streams.realtime_feed(spark, path).collect()) == 12
+    assert len([f for f in Path(path, "feed").glob("**/*.txt") if f.is_file()]) == 4
+
+
+def test_bundled_lines_stream_as_they_were(spark, tmp_path):
+    rows = [("realtime2/00001.txt", "2024 01 02 03 04  a\tb"), ("realtime2/00002.txt", ""), ("realtime2/00002.txt", "#c")]
+    bundled(spark.createDataFrame(rows, "filename string, value string")).write.text(str(tmp_path / "in"))
+    stream = ingest.bundled_stream(spark, str(tmp_path / "in"))
+    checkpoint = str(tmp_path / "checkpoint")
+    to = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).format("parquet")
+    to.start(str(tmp_path / "out")).awaitTermination()
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == sorted(rows)
+
+
 def test_parts_of_the_latest_feed_have_several_files(spark, feed, monkeypatch):
     path, seen = feed
     monkeypatch.setattr(streams, "FILE_LINES", 4)
